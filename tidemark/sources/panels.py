@@ -118,10 +118,19 @@ def event_day_panel(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("
 
 
 def part_month_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many-series panel: line items by (part, ship month); value = exact quantity sum."""
-    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_shipdate")
+    """Many-series panel: line items by (part, ship month); exact quantity and revenue sums."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     return li.groupBy(F.col("l_partkey"), month_start("l_shipdate").alias("period_date_key")).agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("value"))
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("qty"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.count(F.lit(1)).alias("n_lines"))
+
+
+def part_quarter_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by (part, ship quarter); exact quantity sum."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_shipdate")
+    return li.groupBy(F.col("l_partkey"), quarter_start("l_shipdate").alias("period_date_key")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("qty"))
 
 
 def user_day_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
