@@ -23,10 +23,12 @@ def latest_flag(df: DataFrame, keys: Sequence[str], date: str = "period_date_key
                 name: str = "is_latest") -> DataFrame:
     """``row_number() over (partition by keys order by date desc) = 1``.
 
-    Dates are unique per series, so ``date = max(date)`` over the series is the
-    same flag; a window over the series (no ORDER BY) avoids a sort.
+    Dates are unique per series, so ``date = max(date)`` over the whole series
+    is the same flag.  The frame uses the same partition and order as the
+    series windows, so the planner evaluates it in the same Window operator
+    and sort as the lags that usually follow.
     """
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    w = series_window(keys, date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumn(name, F.col(date) == F.max(F.col(date)).over(w))
 
 

@@ -40,11 +40,19 @@ class Economy:
     thresholds: Thresholds = REFERENCE_THRESHOLDS
     period_start: str | None = None   # dim spine bounds; None = from the data
     period_end: str | None = None
+    cut: tuple[str, ...] = ()        # memo entries to checkpoint when built (see SHARED)
     _memo: dict = field(default_factory=dict, repr=False)
 
     def memo(self, name: str, build) -> DataFrame:
         if name not in self._memo:
-            self._memo[name] = build()
+            df = build()
+            if name in self.cut:
+                # several models consume this one: cut its lineage once (reliable
+                # checkpoint in the shared folder), so later plans start from it
+                from ..session import ensure_checkpoint_dir
+                ensure_checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
+            self._memo[name] = df
         return self._memo[name]
 
     @property
@@ -54,13 +62,41 @@ class Economy:
     def window(self):
         return series_window(self.keys, D)
 
-    def materialize(self, eager: bool = True) -> "Economy":
-        """Checkpoint the observation panel to the shared checkpoint folder (reliable, survives executor loss)."""
-        self.observations = self.observations.checkpoint(eager=eager)
+    def persist(self) -> "Economy":
+        """Keep the (aggregated) observation panel in executor memory/disk for the models that share it.
+
+        Every model re-reads the panel several times (one branch per staged
+        series); persisting it makes all branches read one materialised copy
+        instead of re-running the scans, joins and aggregates behind it.  A
+        lost executor only means its blocks are recomputed from lineage.
+        """
+        from pyspark import StorageLevel
+        self.observations = self.observations.persist(StorageLevel.MEMORY_AND_DISK)
+        self._memo.clear()
+        return self
+
+    def materialize(self) -> "Economy":
+        """Cut the panel's lineage once: persist, then a reliable checkpoint in the shared folder.
+
+        All models then plan over a one-node leaf (small plans, quick
+        analysis) instead of re-expanding scans, joins and aggregates behind
+        every staged series.  Persisting first lets the checkpoint write read
+        the computed blocks instead of recomputing them; the checkpoint files
+        survive the loss of an executor.
+        """
+        from pyspark import StorageLevel
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.observations.sparkSession)
+        self.observations = self.observations.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
         self._memo.clear()
         return self
 
 
+# Intermediates with two or more consumers (M7-M10, M12, M15): the ones the
+# reference materialises as tables and that a pipeline run should cut.
+SHARED = ("int_gdp", "int_cpi", "int_labor", "int_fin", "int_recession", "fct_monthly")
+
+
 # ---------------------------------------------------------------------------
 # M1-M6 staging
 # ---------------------------------------------------------------------------

@@ -14,6 +14,7 @@ this schema.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,8 +87,10 @@ def segment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     series prunes the other branches at planning time.
     """
     keys = [SEGMENT]
-    om = order_month_facts(spark, sf_dir)
-    lm = line_month_facts(spark, sf_dir)
+    # the two month aggregates feed four and two series: persist them so the
+    # scans and joins behind them run once (a lost block is recomputed)
+    om = order_month_facts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    lm = line_month_facts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     gq = om.groupBy(F.col(SEGMENT), quarter_start("m").alias("m")).agg(
         F.sum("sum_price").alias("sum_price"), F.max("last_ts").alias("last_ts"))
     parts = [
