@@ -40,18 +40,17 @@ class Economy:
     thresholds: Thresholds = REFERENCE_THRESHOLDS
     period_start: str | None = None   # dim spine bounds; None = from the data
     period_end: str | None = None
-    cut: tuple[str, ...] = ()        # memo entries to checkpoint when built (see SHARED)
+    cut: tuple[str, ...] = ()        # memo entries to persist when built (see SHARED)
     _memo: dict = field(default_factory=dict, repr=False)
 
     def memo(self, name: str, build) -> DataFrame:
         if name not in self._memo:
             df = build()
             if name in self.cut:
-                # several models consume this one: cut its lineage once (reliable
-                # checkpoint in the shared folder), so later plans start from it
-                from ..session import ensure_checkpoint_dir
-                ensure_checkpoint_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)
+                # several models consume this one: keep it once (lazy, filled by
+                # its first consumer; lost blocks are recomputed from lineage)
+                from pyspark import StorageLevel
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._memo[name] = df
         return self._memo[name]
 

@@ -41,7 +41,7 @@ def double_columns(df: DataFrame) -> tuple[str, ...]:
 def driver_economy(spark: SparkSession, sf_dir: str) -> M.Economy:
     """Segment panel from the driver tables with thresholds in its units."""
     return M.Economy(segment_observations(spark, sf_dir), keys=(SEGMENT,),
-                     thresholds=DRIVER_PANEL_THRESHOLDS).materialize()
+                     thresholds=DRIVER_PANEL_THRESHOLDS, cut=M.SHARED).materialize()
 
 
 def register(name: str, fn: Callable[[SparkSession, str], DataFrame], sql: str | None,

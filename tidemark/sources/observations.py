@@ -76,16 +76,20 @@ def write_upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Seque
     Reads the current rows of the touched partitions, merges, and writes with
     dynamic partition overwrite; untouched partitions stay as they are.
     """
+    from pyspark import StorageLevel
+    from ..session import ensure_checkpoint_dir
     touched = updates.select(partition_col).distinct()
     try:
         current = spark.read.parquet(path)
-        current = current.join(F.broadcast(touched), on=partition_col, how="left_semi") \
-            if touched.count() <= 10000 else current.join(touched, on=partition_col, how="left_semi")
+        # only the partitions the batch touches are read and rewritten
+        current = current.join(touched, on=partition_col, how="left_semi")
     except Exception:  # noqa: BLE001 - first load: no table yet
         current = None
     merged = upsert(current, updates, keys, seq)
-    # lineage of ``merged`` reads ``path``: checkpoint before overwriting it
-    merged = merged.checkpoint(eager=True)
+    # the lineage of ``merged`` reads ``path``: cut it (reliable checkpoint in the
+    # shared folder) before overwriting the same partitions
+    ensure_checkpoint_dir(spark)
+    merged = merged.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
