@@ -62,3 +62,30 @@ def test_stream_upsert_idempotent(spark, scratch):
     load_stream(spark, src, tgt, ck)  # nothing new: no change
     got = sorted((r.series_id, str(r.observation_date), r.value) for r in spark.read.parquet(tgt).collect())
     assert got == [("A", "2020-01-01", 1.0), ("A", "2020-02-01", 20.0), ("A", "2020-03-01", 3.0), ("B", "2020-01-01", 9.0)]
+
+
+def test_pipeline_run_writes_tables_and_log(spark, scratch):
+    import os as _os
+    from tidemark.plans.pipeline import run_pipeline
+    from tidemark.plans.quality_queries import check_log, RUN_ID
+    from tidemark.plans.registry import driver_economy
+    from tidemark.operators import quality as Q
+    from tidemark.plans import models as M
+    sf = "/root/testdata/sf0.001"
+    ctx = driver_economy(spark, sf)
+    fails = {"spike": Q.spike(M.stg_cpi(ctx), "cpi_index", 10.0, list(ctx.keys))}
+    summary = run_pipeline(spark, ctx, scratch, check_log(spark, sf), RUN_ID, fails).collect()
+    assert summary[0].total_checks == 5
+    assert _os.path.isdir(_os.path.join(scratch, "fct_economic_indicators_monthly"))
+    assert spark.read.parquet(_os.path.join(scratch, "fct_recession_analysis")).count() == M.fct_recession_analysis(ctx).count()
+    assert _os.path.isdir(_os.path.join(scratch, "failures", "spike"))
+
+
+def test_of_type_checks(spark):
+    from tidemark.operators import quality as Q
+    from tidemark.plans import models as M
+    from tidemark.plans.registry import driver_economy
+    ctx = driver_economy(spark, "/root/testdata/sf0.001")
+    assert Q.of_type(M.stg_gdp(ctx), "gdp_billions_usd", ["decimal(18,2)"])
+    assert Q.of_type(M.stg_cpi(ctx), "period_date_key", ["date", "timestamp"])
+    assert not Q.of_type(M.stg_cpi(ctx), "cpi_index", ["double"])
