@@ -241,10 +241,13 @@ def validate_observations(parsed_raw: DataFrame, as_of: str, keys: Sequence[str]
     """
     d = F.try_to_date(F.col(date_str), "yyyy-MM-dd")
     num = F.expr(f"try_cast({value_str} AS DOUBLE)")
-    w_dup = Window.partitionBy(*_k(keys), d)
     w_ord = Window.partitionBy(*_k(keys)).orderBy(F.col(pos))
     r = parsed_raw.select(*_k(keys), pos, date_str, value_str, d.alias("_d"), num.alias("_v"))
-    r = r.withColumn("_dups", F.when(F.col("_d").isNotNull(), F.count(F.lit(1)).over(w_dup)))
+    # duplicates: an aggregate (partial, so a hot date combines map-side) joined back
+    dups = r.where(F.col("_d").isNotNull()).groupBy(*_k(keys), "_d").agg(F.count(F.lit(1)).alias("_dups"))
+    r = r.join(dups, on=list(keys) + ["_d"], how="left")
+    # order: compares each observation with the previous one of its payload (one
+    # API response, bounded by the source's page size)
     r = r.withColumn("_prev", F.lag("_d").over(w_ord))
     reasons = F.array_compact(F.array(
         F.when(F.col(date_str).isNull() | F.col(value_str).isNull(), F.lit("missing_field")),
@@ -343,6 +346,5 @@ def check_log_monitor(checks: DataFrame, top: int = 5) -> tuple[DataFrame, DataF
         F.max_by(F.col("check_status"), F.struct("check_timestamp", "check_id")).alias("last_status"))
     failing = checks.where(F.col("check_status") != "passed").groupBy("check_type", "resource_name").agg(
         F.count(F.lit(1)).alias("n_failures"))
-    w = Window.orderBy(F.col("n_failures").desc(), F.col("check_type"), F.col("resource_name"))
-    topf = failing.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
+    topf = failing.orderBy(F.col("n_failures").desc(), F.col("check_type"), F.col("resource_name")).limit(top)
     return rate, last, topf

@@ -101,8 +101,7 @@ def high_water_mark(df: DataFrame, keys: Sequence[str] = ("series_id",), date: s
 
 
 def incremental_slice(source: DataFrame, target: DataFrame, as_of: str, keys: Sequence[str] = ("series_id",),
-                      lookback_days: int = 90, date: str = "observation_date",
-                      series: DataFrame | None = None) -> DataFrame:
+                      lookback_days: int = 90, date: str = "observation_date") -> DataFrame:
     """Source rows from the day after each series' high-water mark up to ``as_of``.
 
     A series with no high-water mark starts at ``as_of - lookback_days``.

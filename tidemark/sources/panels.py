@@ -38,9 +38,9 @@ def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey", "o_custkey")
 
 
-def order_month_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | None = None) -> DataFrame:
     """Per (segment, order month): order count, exact price sum, count of status F, last order time."""
-    j = order_segments(spark, sf_dir)
+    j = segments if segments is not None else order_segments(spark, sf_dir)
     return j.groupBy(F.col(SEGMENT), month_start("o_orderdate").alias("m")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("sum_price"),
@@ -48,7 +48,7 @@ def order_month_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.col("o_orderdate").cast("timestamp")).alias("last_ts"))
 
 
-def line_month_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | None = None) -> DataFrame:
     """Per (segment, ship month): line count, exact discount sum, sum of unit prices, last ship time.
 
     lineitem ⋈ (orders ⋈ customer) is the one large-large join; it is a
@@ -57,7 +57,7 @@ def line_month_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_discount", "l_extendedprice", "l_quantity",
                     "l_shipdate")
-    seg = order_segments(spark, sf_dir).select("o_orderkey", SEGMENT)
+    seg = (segments if segments is not None else order_segments(spark, sf_dir)).select("o_orderkey", SEGMENT)
     j = li.join(seg, li.l_orderkey == seg.o_orderkey, "inner")
     return j.groupBy(F.col(SEGMENT), month_start("l_shipdate").alias("m")).agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -87,10 +87,12 @@ def segment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     series prunes the other branches at planning time.
     """
     keys = [SEGMENT]
-    # the two month aggregates feed four and two series: persist them so the
-    # scans and joins behind them run once (a lost block is recomputed)
-    om = order_month_facts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    lm = line_month_facts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    # orders ⋈ customer feeds both sides (order facts, and the segment of each
+    # line item's order): computed once.  The two month aggregates feed four and
+    # two series.  Persisted blocks lost with an executor are recomputed.
+    seg = order_segments(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    om = order_month_facts(spark, sf_dir, seg).persist(StorageLevel.MEMORY_AND_DISK)
+    lm = line_month_facts(spark, sf_dir, seg).persist(StorageLevel.MEMORY_AND_DISK)
     gq = om.groupBy(F.col(SEGMENT), quarter_start("m").alias("m")).agg(
         F.sum("sum_price").alias("sum_price"), F.max("last_ts").alias("last_ts"))
     parts = [
