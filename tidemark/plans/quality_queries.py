@@ -598,3 +598,12 @@ register("economy_snapshot", lambda s, d: RP.economy_snapshot(driver_economy(s,
                coalesce(o.yoy_inflation_rate_pct, 0.0) AS inf, coalesce(CAST(o.fedfunds_rate_pct AS DOUBLE), 0.0) AS fed,
                coalesce(o.fedfunds_direction, '') AS fd
         FROM overview o LEFT JOIN latest_qoq q ON o.{K} = q.{K}) x""")
+
+register("newest_months", lambda s, d: RP.newest_months(driver_economy(s, d), 10), f"""
+  SELECT {K}, period_date_key, year_month, cpi_index, yoy_inflation_rate_pct, unemployment_rate_pct, fedfunds_rate_pct,
+         sentiment_index, housing_starts_thousands FROM fct_monthly
+  QUALIFY row_number() OVER (PARTITION BY {K} ORDER BY period_date_key DESC) <= 10""", ("yoy_inflation_rate_pct",))
+register("last_year", lambda s, d: RP.last_year(driver_economy(s, d)), f"""
+  SELECT {K}, period_date_key, year_month, yoy_inflation_rate_pct, unemployment_rate_pct, fedfunds_rate_pct
+  FROM (SELECT *, max(period_date_key) OVER (PARTITION BY {K}) AS newest FROM fct_monthly) m
+  WHERE period_date_key > newest - INTERVAL 12 MONTH""", ("yoy_inflation_rate_pct",))

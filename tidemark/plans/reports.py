@@ -133,3 +133,23 @@ def top_k_recent(ctx: M.Economy, k: int = 40) -> DataFrame:
         return r.orderBy(F.col("year_quarter").desc()).limit(k)
     w = Window.partitionBy(*ctx.K).orderBy(F.col("year_quarter").desc())
     return r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
+def newest_months(ctx: M.Economy, n: int = 10) -> DataFrame:
+    """The newest ``n`` months of the monthly fact per economy (top-k is the feature)."""
+    m = M.fct_economic_indicators_monthly(ctx).select(*ctx.K, D, "year_month", "cpi_index", "yoy_inflation_rate_pct",
+                                                      "unemployment_rate_pct", "fedfunds_rate_pct", "sentiment_index",
+                                                      "housing_starts_thousands")
+    if not ctx.K:
+        return m.orderBy(F.col(D).desc()).limit(n)
+    w = Window.partitionBy(*ctx.K).orderBy(F.col(D).desc())
+    return m.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def last_year(ctx: M.Economy) -> DataFrame:
+    """The last twelve months of data per economy (relative to each economy's newest month)."""
+    m = M.fct_economic_indicators_monthly(ctx)
+    newest = m.groupBy(*ctx.K).agg(F.max(D).alias("_newest")) if ctx.K else m.agg(F.max(D).alias("_newest"))
+    j = m.join(newest, on=ctx.K, how="inner") if ctx.K else m.crossJoin(F.broadcast(newest))
+    return j.where(F.col(D) > F.add_months(F.col("_newest"), -12)).select(
+        *ctx.K, D, "year_month", "yoy_inflation_rate_pct", "unemployment_rate_pct", "fedfunds_rate_pct")
