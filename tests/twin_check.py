@@ -57,6 +57,22 @@ def frame_digest(pdf: pd.DataFrame) -> tuple[int, list[str], str, list[str]]:
     return len(pdf), cols, hashlib.sha1("\n".join(rows).encode()).hexdigest(), rows
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_diffs(sdf, con, sql) -> list[str]:
+    """Column types that differ between the Spark result and the DuckDB twin."""
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        exp = SPARK_TO_DUCK.get(t, t.upper())
+        if dt.get(f.name) != exp:
+            out.append(f"{f.name}: spark={t} duck={dt.get(f.name)}")
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -66,8 +82,12 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return f"{name:40s} rows={len(spdf):6d} spark={ts:5.2f}s (no twin)", True
     dpdf = con.execute(sql).df()
     a, b = frame_digest(spdf), frame_digest(dpdf)
-    ok = a[0] == b[0] and a[1] == b[1] and a[2] == b[2]
-    msg = f"{name:40s} rows={a[0]:6d}/{b[0]:6d} cols={'ok' if a[1] == b[1] else 'DIFF'} hash={'ok' if a[2] == b[2] else 'DIFF'} spark={ts:5.2f}s"
+    types = type_diffs(sdf, con, sql)
+    ok = a[0] == b[0] and a[1] == b[1] and a[2] == b[2] and not types
+    msg = (f"{name:40s} rows={a[0]:6d}/{b[0]:6d} cols={'ok' if a[1] == b[1] else 'DIFF'} "
+           f"types={'ok' if not types else 'DIFF'} hash={'ok' if a[2] == b[2] else 'DIFF'} spark={ts:5.2f}s")
+    if types:
+        msg += "\n   " + "; ".join(types)
     if not ok:
         if a[1] != b[1]:
             msg += f"\n   spark-only={sorted(set(a[1]) - set(b[1]))} duck-only={sorted(set(b[1]) - set(a[1]))}"

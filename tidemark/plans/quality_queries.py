@@ -190,8 +190,8 @@ register("chk_between", lambda s, d: Q.between(_pm_yoy(s, d), "yoy_change_pct",
          "SELECT * FROM pm_mom WHERE yoy_change_pct IS NOT NULL AND (yoy_change_pct < -50.0 OR yoy_change_pct > 50.0)",
          ("qty", "mom_change_pct", "yoy_change_pct"))
 
-_ranges_sql = " UNION ALL ".join(f"SELECT '{s.series_id}' AS series_id, {s.test_range[0]} AS range_min, "
-                                 f"{s.test_range[1]} AS range_max" for s in SERIES)
+_ranges_sql = " UNION ALL ".join(f"SELECT '{s.series_id}' AS series_id, CAST({s.test_range[0]} AS DOUBLE) AS range_min, "
+                                 f"CAST({s.test_range[1]} AS DOUBLE) AS range_max" for s in SERIES)
 
 
 def series_ranges(spark: SparkSession) -> DataFrame:
@@ -250,7 +250,8 @@ _stale_sql = " UNION ALL ".join(f"SELECT '{s.series_id}' AS series_id, {s.stale_
 
 register("chk_source_freshness", lambda s, d: Q.source_freshness(_obs(s, d), freshness_table(s), AS_OF,
                                                                   [SEGMENT, "series_id"]), f"""
-  SELECT l.{K}, l.series_id, l.max_loaded_at, date_diff('day', CAST(l.max_loaded_at AS DATE), DATE '{AS_OF}') AS age_days,
+  SELECT l.{K}, l.series_id, l.max_loaded_at,
+         CAST(date_diff('day', CAST(l.max_loaded_at AS DATE), DATE '{AS_OF}') AS INTEGER) AS age_days,
          t.warn_days, t.error_days,
          CASE WHEN date_diff('day', CAST(l.max_loaded_at AS DATE), DATE '{AS_OF}') > t.error_days THEN 'error'
               WHEN date_diff('day', CAST(l.max_loaded_at AS DATE), DATE '{AS_OF}') > t.warn_days THEN 'warn' ELSE 'pass' END
@@ -274,7 +275,8 @@ def _expected(spark, d):
 
 
 cte("stale", f"""
-  SELECT e.{K}, e.series_id, l.latest_date, date_diff('day', l.latest_date, DATE '{AS_OF}') AS days_old, e.window_days,
+  SELECT e.{K}, e.series_id, l.latest_date, CAST(date_diff('day', l.latest_date, DATE '{AS_OF}') AS INTEGER) AS days_old,
+         e.window_days,
          CASE WHEN l.latest_date IS NULL THEN 'no_data' WHEN date_diff('day', l.latest_date, DATE '{AS_OF}') > e.window_days
               THEN 'stale' ELSE 'fresh' END AS status
   FROM (SELECT DISTINCT c.{K}, t.series_id, t.window_days FROM customer c CROSS JOIN ({_stale_sql}) t) e
