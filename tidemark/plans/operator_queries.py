@@ -169,13 +169,13 @@ register("conjunctive_flags", _conj, f"""
   SELECT coalesce(f.{K}, l.{K}) AS {K}, coalesce(f.period_date_key, l.period_date_key) AS period_date_key,
          f.is_financial_stress_elevated, l.is_labor_market_healthy
   FROM int_fin f FULL OUTER JOIN int_labor l ON f.{K} = l.{K} AND f.period_date_key = l.period_date_key""")
-register("additive_score", lambda s, d: M.int_recession_indicators(driver_economy(s, d)).select(
+register("additive_score", lambda s, d: M.int_recession_indicators(driver_economy(s, d, True)).select(
     SEGMENT, D, "recession_intensity_score"),
     f"SELECT {K}, period_date_key, recession_intensity_score FROM int_recession")
-register("decision_table", lambda s, d: M.int_recession_indicators(driver_economy(s, d)).select(
+register("decision_table", lambda s, d: M.int_recession_indicators(driver_economy(s, d, True)).select(
     SEGMENT, D, "consecutive_negative_quarters", "recession_risk_level"),
     f"SELECT {K}, period_date_key, consecutive_negative_quarters, recession_risk_level FROM int_recession")
-register("contributing_factors", lambda s, d: M.fct_recession_analysis(driver_economy(s, d)).select(
+register("contributing_factors", lambda s, d: M.fct_recession_analysis(driver_economy(s, d, True)).select(
     SEGMENT, D, "recession_contributing_factors", "num_contributing_factors"),
     f"SELECT {K}, period_date_key, recession_contributing_factors, num_contributing_factors FROM fct_recession")
 

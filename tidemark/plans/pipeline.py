@@ -55,6 +55,7 @@ def run_pipeline(spark: SparkSession, ctx: M.Economy, out_dir: str, check_log: D
                  column_checks: dict[str, DataFrame] | None = None) -> DataFrame:
     """Materialise the models, append the check rows, store failing rows; return the run summary."""
     from ..sources.observations import write_checks
+    ctx.cut = tuple(set(ctx.cut) | set(M.SHARED))  # intermediates with several consumers are kept once built
     ctx.materialize()
     write_models(ctx, out_dir)
     write_checks(check_log, f"{out_dir.rstrip('/')}/quality_checks")

@@ -150,7 +150,7 @@ _MONTHLY_COLS = ("cpi_index", "yoy_inflation_rate_pct", "inflation_severity_cate
                  "unemployment_rate_pct", "unemployment_yoy_change_pct", "unemployment_trend",
                  "is_labor_market_healthy", "fedfunds_rate_pct", "fedfunds_direction", "sentiment_index",
                  "sentiment_outlook", "housing_starts_thousands")
-register("chk_not_null", lambda s, d: Q.null_counts(M.fct_economic_indicators_monthly(driver_economy(s, d)),
+register("chk_not_null", lambda s, d: Q.null_counts(M.fct_economic_indicators_monthly(driver_economy(s, d, True)),
                                                      list(_MONTHLY_COLS)),
          "\nUNION ALL ".join(f"SELECT count(*) AS row_count, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count "
                              f"FROM fct_monthly" for c in _MONTHLY_COLS))
@@ -172,7 +172,7 @@ register("chk_accepted_labels", lambda s, d: _accepted_labels(s, d), f"""
 
 
 def _accepted_labels(spark, d):
-    m = M.fct_economic_indicators_monthly(driver_economy(spark, d))
+    m = M.fct_economic_indicators_monthly(driver_economy(spark, d, True))
     a = Q.accepted_values(m, "inflation_severity_category", ACCEPTED["inflation_severity_category"]).select(
         SEGMENT, D, F.lit("inflation_severity_category").alias("column_name"),
         F.col("inflation_severity_category").alias("value"))
@@ -348,7 +348,7 @@ register("baseline_drift", _drift, f"""
   FROM ({_baseline_sql('2024-01-30', 14)}) c FULL OUTER JOIN ({_baseline_sql('2024-01-16', 14)}) p
     ON c.event_type = p.event_type""",
     tuple(f"{p}_{s}" for p in ("cur", "prev", "delta") for s in _st if s != "row_count") + ("mean_change_pct",))
-register("completeness_pct", lambda s, d: Q.completeness(M.fct_economic_indicators_monthly(driver_economy(s, d)),
+register("completeness_pct", lambda s, d: Q.completeness(M.fct_economic_indicators_monthly(driver_economy(s, d, True)),
                                                          list(_MONTHLY_COLS)),
          "SELECT *, CASE WHEN completeness_pct < 90.0 THEN 'warning' ELSE 'passed' END AS check_status FROM (\n"
          + "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100.0 "
@@ -416,7 +416,7 @@ CHECKS = (  # check_type, resource, description, fail status, fail severity
 
 def check_log(spark: SparkSession, d: str) -> DataFrame:
     """Run the post-load checks over the segment panel and shape them as check-log rows."""
-    obs = _obs(spark, d)
+    obs = driver_economy(spark, d, True).observations  # five checks re-read the panel: cut once
     keys = [SEGMENT, "series_id"]
     stale = Q.staleness(obs, _expected(spark, d), AS_OF, keys)
     z = Q.latest_zscore(obs, "value", AS_OF, keys)
@@ -527,17 +527,17 @@ register("run_results_summary", run_results_summary, """
   FROM check_log""", ("metric_value",))
 
 # ------------------------------------------------------------------ reports
-register("overview", lambda s, d: RP.overview(driver_economy(s, d)), "SELECT * FROM overview",
+register("overview", lambda s, d: RP.overview(driver_economy(s, d, True)), "SELECT * FROM overview",
          ("yoy_inflation_rate_pct", "unemployment_yoy_change_pct", "qoq_growth_pct", "yoy_growth_pct"))
-register("inflation_history", lambda s, d: RP.inflation_history(driver_economy(s, d)), f"""
+register("inflation_history", lambda s, d: RP.inflation_history(driver_economy(s, d, True)), f"""
   SELECT {K}, period_date_key, year_month, yoy_inflation_rate_pct, mom_inflation_change_pct, inflation_severity_category,
          fedfunds_rate_pct, fed_policy_stance_to_inflation FROM fct_inflation WHERE period_date_key > DATE '1999-12-31'""",
     ("yoy_inflation_rate_pct",))
-register("recession_history", lambda s, d: RP.recession_history(driver_economy(s, d)), f"""
+register("recession_history", lambda s, d: RP.recession_history(driver_economy(s, d, True)), f"""
   SELECT {K}, period_date_key, year_quarter, gdp_billions_usd, qoq_growth_pct, unemployment_rate_pct, yoy_inflation_rate_pct,
          recession_risk_level, recession_intensity_score, consecutive_negative_quarters
   FROM fct_recession WHERE period_date_key > DATE '1999-12-31'""", ("qoq_growth_pct", "yoy_inflation_rate_pct"))
-register("employment_history", lambda s, d: RP.employment_history(driver_economy(s, d)), f"""
+register("employment_history", lambda s, d: RP.employment_history(driver_economy(s, d, True)), f"""
   SELECT {K}, period_date_key, year_month, unemployment_rate_pct, unemployment_yoy_change_pct, unemployment_trend,
          housing_starts_thousands, labor_market_health_score, labor_market_condition
   FROM fct_employment WHERE period_date_key > DATE '1999-12-31'""", ("unemployment_yoy_change_pct",))
@@ -545,9 +545,9 @@ cte("latest_qoq", f"""
   SELECT o.{K}, o.qoq_growth_pct AS overview_qoq, l.last_qoq, coalesce(o.qoq_growth_pct, l.last_qoq) AS gdp_qoq_growth_pct
   FROM overview o LEFT JOIN (SELECT {K}, arg_max(qoq_growth_pct, period_date_key) FILTER (WHERE qoq_growth_pct IS NOT NULL)
                                     AS last_qoq FROM fct_recession GROUP BY 1) l ON o.{K} = l.{K}""")
-register("latest_qoq_fallback", lambda s, d: RP.latest_qoq(driver_economy(s, d)), "SELECT * FROM latest_qoq",
+register("latest_qoq_fallback", lambda s, d: RP.latest_qoq(driver_economy(s, d, True)), "SELECT * FROM latest_qoq",
          ("overview_qoq", "last_qoq", "gdp_qoq_growth_pct"))
-register("kpi_class", lambda s, d: RP.kpi_class(driver_economy(s, d)), f"""
+register("kpi_class", lambda s, d: RP.kpi_class(driver_economy(s, d, True)), f"""
   SELECT o.{K}, CASE WHEN coalesce(q.gdp_qoq_growth_pct, 0.0) >= 0 THEN '' ELSE 'c-red' END AS gdp_class,
          CASE WHEN coalesce(o.unemployment_yoy_change_pct, 0.0) > {T.kpi_unemp_red} THEN 'c-red'
               WHEN coalesce(o.unemployment_yoy_change_pct, 0.0) > {T.kpi_unemp_yellow} THEN 'c-yellow' ELSE '' END
@@ -555,7 +555,7 @@ register("kpi_class", lambda s, d: RP.kpi_class(driver_economy(s, d)), f"""
          CASE o.recession_risk_level WHEN 'Low' THEN 'c-green' WHEN 'Emerging' THEN 'c-yellow' WHEN 'Moderate' THEN 'c-orange'
               WHEN 'High' THEN 'c-red' ELSE '' END AS risk_class
   FROM overview o LEFT JOIN latest_qoq q ON o.{K} = q.{K}""")
-register("top_k_recent", lambda s, d: RP.top_k_recent(driver_economy(s, d), 40), f"""
+register("top_k_recent", lambda s, d: RP.top_k_recent(driver_economy(s, d, True), 40), f"""
   SELECT {K}, year_quarter, gdp_billions_usd, qoq_growth_pct, unemployment_rate_pct, yoy_inflation_rate_pct,
          recession_risk_level, recession_intensity_score FROM fct_recession
   QUALIFY row_number() OVER (PARTITION BY {K} ORDER BY year_quarter DESC) <= 40""",
@@ -573,7 +573,7 @@ def _sq(s: str) -> str:
 _A = f"(u < {T.snap_unemp_low} AND uc < {T.snap_unemp_yoy_low})"
 _vmap = {i: "CASE r " + " ".join(f"WHEN '{v[0]}' THEN '{_sq(v[i])}'" for v in VERDICTS)
          + f" ELSE '{_sq(VERDICT_UNKNOWN[i - 1])}' END" for i in (1, 2, 3)}
-register("economy_snapshot", lambda s, d: RP.economy_snapshot(driver_economy(s, d)), f"""
+register("economy_snapshot", lambda s, d: RP.economy_snapshot(driver_economy(s, d, True)), f"""
   SELECT {K}, r AS recession_risk_level,
     array_to_string(list_filter([
       CASE WHEN g > {T.snap_gdp_growing} THEN 'GDP is growing (+' || {_f1('g')} || '% QoQ)' END,
@@ -601,11 +601,11 @@ register("economy_snapshot", lambda s, d: RP.economy_snapshot(driver_economy(s,
                coalesce(o.fedfunds_direction, '') AS fd
         FROM overview o LEFT JOIN latest_qoq q ON o.{K} = q.{K}) x""")
 
-register("newest_months", lambda s, d: RP.newest_months(driver_economy(s, d), 10), f"""
+register("newest_months", lambda s, d: RP.newest_months(driver_economy(s, d, True), 10), f"""
   SELECT {K}, period_date_key, year_month, cpi_index, yoy_inflation_rate_pct, unemployment_rate_pct, fedfunds_rate_pct,
          sentiment_index, housing_starts_thousands FROM fct_monthly
   QUALIFY row_number() OVER (PARTITION BY {K} ORDER BY period_date_key DESC) <= 10""", ("yoy_inflation_rate_pct",))
-register("last_year", lambda s, d: RP.last_year(driver_economy(s, d)), f"""
+register("last_year", lambda s, d: RP.last_year(driver_economy(s, d, True)), f"""
   SELECT {K}, period_date_key, year_month, yoy_inflation_rate_pct, unemployment_rate_pct, fedfunds_rate_pct
   FROM (SELECT *, max(period_date_key) OVER (PARTITION BY {K}) AS newest FROM fct_monthly) m
   WHERE period_date_key > newest - INTERVAL 12 MONTH""", ("yoy_inflation_rate_pct",))

@@ -38,10 +38,22 @@ def double_columns(df: DataFrame) -> tuple[str, ...]:
     return tuple(f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType)))
 
 
-def driver_economy(spark: SparkSession, sf_dir: str) -> M.Economy:
-    """Segment panel from the driver tables with thresholds in its units."""
-    return M.Economy(segment_observations(spark, sf_dir), keys=(SEGMENT,),
-                     thresholds=DRIVER_PANEL_THRESHOLDS).materialize()
+def driver_economy(spark: SparkSession, sf_dir: str, materialize: bool = False) -> M.Economy:
+    """Segment panel from the driver tables with thresholds in its units.
+
+    ``materialize`` cuts the panel's lineage once (``Economy.materialize``):
+    worth it when the plan re-reads the panel many times (composite models,
+    reports, the check suite); a single-series query instead keeps the lazy
+    plan, which prunes the branches it does not need (CPI never scans orders).
+    """
+    ctx = M.Economy(segment_observations(spark, sf_dir), keys=(SEGMENT,), thresholds=DRIVER_PANEL_THRESHOLDS)
+    return ctx.materialize() if materialize else ctx
+
+
+# models whose plan re-reads the panel through several intermediates
+COMPOSITE = {"int_recession_indicators", "int_indicator_cross_correlations", "fct_economic_indicators_monthly",
+             "fct_economic_indicators_quarterly", "fct_recession_analysis", "fct_inflation_analysis",
+             "fct_employment_analysis", "vw_economic_overview_dashboard"}
 
 
 def register(name: str, fn: Callable[[SparkSession, str], DataFrame], sql: str | None,
@@ -78,5 +90,5 @@ MODEL_DOUBLES = {
 }
 
 for _name, _fn in M.MODELS.items():
-    register(_name, lambda spark, sf_dir, _f=_fn: _f(driver_economy(spark, sf_dir)),
+    register(_name, lambda spark, sf_dir, _f=_fn, _m=_name in COMPOSITE: _f(driver_economy(spark, sf_dir, _m)),
              TW.MODEL_SELECT[_name], MODEL_DOUBLES[_name])
