@@ -3,10 +3,10 @@
 ``Economy`` holds the long observation panel and the panel keys (one
 reference "economy" = one key value).  Each model is a function
 ``(ctx) -> DataFrame``; they call each other like the reference's ``ref()``
-and Catalyst plans across the boundaries.  Intermediates with several
-consumers are memoised per context (one DataFrame object, so Spark can reuse
-its exchanges), and ``Economy.materialize`` can cut lineage by checkpointing
-the panel once before many models run.
+and Catalyst plans across the boundaries.  Each model is built once per
+context (memoised DataFrame); ``Economy(cut=SHARED)`` also persists the
+intermediates that several models consume, and ``Economy.materialize`` cuts
+the panel's lineage with a checkpoint before many models run.
 """
 
 from __future__ import annotations

@@ -41,13 +41,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared (HDFS/object store) folder there; we only set our
     own when it is unset, which is the local-test case.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the session conf is used
+        sc = None
+    path = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
