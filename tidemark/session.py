@@ -46,6 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the session conf is used
         sc = None
     path = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or (sc.getCheckpointDir() if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
