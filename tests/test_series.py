@@ -99,3 +99,19 @@ def test_rolling_count_if(spark):
     w = series_window(["k"], D)
     out = frame(spark, rows).select(D, S.rolling_count_if(F.col("x") < 0, w, 4).alias("n")).orderBy(D).collect()
     assert [r.n for r in out] == [1, 1, 2, 3, 2, 2]
+
+
+def test_calendar_lag_sees_gaps(spark):
+    ds = months(14)
+    rows = [("a", d, float(i + 1), None) for i, d in enumerate(ds) if i != 1]  # month 2 missing
+    out = {r[D]: r.prev for r in A.calendar_lag(frame(spark, rows), ["k"], "x", 12, "prev").collect()}
+    assert out[ds[12]] == 1.0 and out[ds[13]] is None  # month 14's year-ago month is the gap
+
+
+def test_zscore_exclude_latest(spark):
+    rows = [("a", d, v, None) for d, v in zip(months(9), [10.0] * 8 + [1000.0])]
+    df = frame(spark, rows).withColumnRenamed(D, "observation_date")
+    inside = Q.latest_zscore(df, "x", "2001-01-01", ["k"]).collect()[0]
+    outside = Q.latest_zscore(df, "x", "2001-01-01", ["k"], exclude_latest=True).collect()[0]
+    assert abs(inside.zscore) <= 8 ** 0.5 + 1e-9 and not inside.anomaly_detected
+    assert outside.stddev == 0.0 and outside.zscore == 0.0  # the other eight points are constant

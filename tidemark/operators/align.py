@@ -151,3 +151,15 @@ def interval_tag(periods: DataFrame, intervals: DataFrame, date: str = "period_d
         F.col(label))
     tagged = periods.join(F.broadcast(months), month_start(date) == F.col("_m"), "left").drop("_m")
     return tagged
+
+
+def calendar_lag(df: DataFrame, keys: Sequence[str], value: str, months: int, out: str,
+                 date: str = "period_date_key") -> DataFrame:
+    """Value of the same series ``months`` calendar months earlier (ledger #1, ``calendar=True``).
+
+    A row lag counts rows, so a missing month shifts it; this is an equi join
+    of the panel with itself moved forward by ``months`` (each row matches at
+    most one row), so a gap gives null instead.
+    """
+    prev = df.select(*_cols(keys), F.add_months(F.col(date), months).alias(date), F.col(value).alias(out))
+    return df.join(prev, on=list(keys) + [date], how="left")

@@ -119,18 +119,30 @@ def source_freshness(df: DataFrame, thresholds: DataFrame, as_of: str, keys: Seq
 
 def latest_zscore(df: DataFrame, value: str, as_of: str, keys: Sequence[str] = ("series_id",),
                   date: str = "observation_date", lookback_days: int = 730, limit: float = 3.0,
-                  min_points: int = 2) -> DataFrame:
+                  min_points: int = 2, exclude_latest: bool = False) -> DataFrame:
     """Population z of each series' newest value within the lookback (Q11).
 
     One grouped aggregate (mean, σ, newest value by ``max_by``, count) for
     all series at once; series with fewer than ``min_points`` values are
-    skipped; σ = 0 gives z = 0; ``anomaly`` when |z| > ``limit``.
+    skipped; σ = 0 gives z = 0; ``anomaly`` when |z| > ``limit``.  With
+    ``exclude_latest`` the mean and σ come from the other points only, so the
+    newest value is not part of its own sample (ledger #15: inside its sample
+    |z| is at most √(n−1)).  The sums for that are taken in the same pass.
     """
     lo = F.date_sub(F.lit(as_of).cast("date"), lookback_days)
     v = F.col(value).cast("double")
     w = df.where((F.col(date) >= lo) & F.col(value).isNotNull())
-    s = w.groupBy(*_k(keys)).agg(F.count(v).alias("n_points"), F.avg(v).alias("mean"),
-                                 F.stddev_pop(v).alias("stddev"), F.max_by(v, F.col(date)).alias("latest_value"))
+    if exclude_latest:
+        s = w.groupBy(*_k(keys)).agg(F.count(v).alias("_n"), F.sum(v).alias("_s"), F.sum(v * v).alias("_ss"),
+                                     F.max_by(v, F.col(date)).alias("latest_value"))
+        n1 = F.col("_n") - 1
+        mean = F.try_divide(F.col("_s") - F.col("latest_value"), n1)
+        var = F.try_divide(F.col("_ss") - F.col("latest_value") * F.col("latest_value"), n1) - mean * mean
+        s = s.select(*_k(keys), n1.alias("n_points"), "latest_value", mean.alias("mean"),
+                     F.sqrt(F.greatest(var, F.lit(0.0))).alias("stddev"))
+    else:
+        s = w.groupBy(*_k(keys)).agg(F.count(v).alias("n_points"), F.avg(v).alias("mean"),
+                                     F.stddev_pop(v).alias("stddev"), F.max_by(v, F.col(date)).alias("latest_value"))
     z = F.when(F.col("stddev") > 0, (F.col("latest_value") - F.col("mean")) / F.col("stddev")).otherwise(F.lit(0.0))
     return s.where(F.col("n_points") >= min_points).select(
         *_k(keys), "n_points", "latest_value", "mean", "stddev", z.alias("zscore"),

@@ -287,3 +287,19 @@ def _union_streams(spark, d):
 
 register("union_all_streams", _union_streams, "SELECT * FROM int_rolling",
          ("rolling_3m_avg", "rolling_6m_avg", "rolling_12m_avg"))
+
+
+def _yoy_calendar(spark, d):
+    pm = part_month_panel(spark, d).select("l_partkey", D, "qty")
+    j = A.calendar_lag(pm, PK, "qty", 12, "qty_12m_ago", D)
+    return j.select("l_partkey", D, "qty", "qty_12m_ago",
+                    (F.try_divide(F.col("qty") - F.col("qty_12m_ago"), F.col("qty_12m_ago")) * 100.0)
+                    .alias("yoy_change_pct"))
+
+
+register("yoy_change_calendar", _yoy_calendar, """
+  SELECT c.l_partkey, c.period_date_key, c.qty, p.qty AS qty_12m_ago,
+         (c.qty - p.qty) / nullif(p.qty, 0) * 100 AS yoy_change_pct
+  FROM pm c LEFT JOIN pm p ON p.l_partkey = c.l_partkey
+                          AND p.period_date_key = CAST(c.period_date_key - INTERVAL 12 MONTH AS DATE)""",
+    ("qty", "qty_12m_ago", "yoy_change_pct"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import ACCEPTED, SERIES, VERDICTS, VERDICT_UNKNOWN, DRIVER_PANEL_THRESHOLDS as T
 from ..operators import quality as Q
 from ..sources import observations as O
-from ..sources.panels import SEGMENT, event_day_panel, part_month_panel
+from ..sources.panels import SEGMENT, event_day_panel, part_month_panel, user_day_panel
 from ..sources.tables import read_table
 from . import models as M
 from . import reports as RP
@@ -609,3 +609,26 @@ register("last_year", lambda s, d: RP.last_year(driver_economy(s, d, True)), f""
   SELECT {K}, period_date_key, year_month, yoy_inflation_rate_pct, unemployment_rate_pct, fedfunds_rate_pct
   FROM (SELECT *, max(period_date_key) OVER (PARTITION BY {K}) AS newest FROM fct_monthly) m
   WHERE period_date_key > newest - INTERVAL 12 MONTH""", ("yoy_inflation_rate_pct",))
+
+
+# ------------------------------------------------------------------ many-series daily panel (user × event type × day)
+cte("ud", """
+  SELECT user_id, event_type, CAST(ts AS DATE) AS observation_date,
+         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value, count(*) AS n_events, max(ts) AS ingested_at
+  FROM events GROUP BY 1, 2, 3""")
+register("user_day_zscore", lambda s, d: Q.latest_zscore(user_day_panel(s, d), "value", EVENT_AS_OF,
+                                                          ["user_id", "event_type"]), f"""
+  SELECT user_id, event_type, n_points, latest_value, mean, stddev,
+         CASE WHEN stddev > 0 THEN (latest_value - mean) / stddev ELSE 0.0 END AS zscore,
+         abs(CASE WHEN stddev > 0 THEN (latest_value - mean) / stddev ELSE 0.0 END) > 3.0 AS anomaly_detected
+  FROM (SELECT user_id, event_type, count(value) AS n_points, avg(value) AS mean, stddev_pop(value) AS stddev,
+               arg_max(value, observation_date) AS latest_value
+        FROM ud WHERE observation_date >= DATE '{EVENT_AS_OF}' - 730 AND value IS NOT NULL GROUP BY 1, 2) s
+  WHERE n_points >= 2""", ("latest_value", "mean", "stddev", "zscore"))
+register("user_missing_days", lambda s, d: Q.missing_periods(user_day_panel(s, d), ["user_id", "event_type"],
+                                                             "observation_date", "day"), """
+  SELECT s.user_id, s.event_type, s.missing_period FROM (
+    SELECT user_id, event_type,
+           CAST(unnest(generate_series(min(observation_date), max(observation_date), INTERVAL 1 DAY)) AS DATE) AS missing_period
+    FROM ud GROUP BY 1, 2) s
+  ANTI JOIN ud u ON s.user_id = u.user_id AND s.event_type = u.event_type AND s.missing_period = u.observation_date""")
