@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,6 +115,21 @@ def _validate(spark, d):
     return v.select("series_id", "pos", F.array_join("reasons", ",").alias("reasons"), "is_valid")
 
 
+def _validate_counts(spark, d):
+    p = event_payloads(spark, d).select("series_id", F.col("event_id").alias("pos"), "date_str", "value_str")
+    return Q.validation_counts(Q.validate_observations(p, EVENT_AS_OF, ["series_id"], "date_str", "value_str", "pos"))
+
+
+register("validation_counts", _validate_counts, f"""
+  SELECT series_id, count(*) AS total, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid
+  FROM (SELECT series_id,
+          (date_str IS NOT NULL AND value_str IS NOT NULL) AND dd IS NOT NULL
+          AND NOT (value_str <> '.' AND TRY_CAST(value_str AS DOUBLE) IS NULL)
+          AND NOT coalesce(dd > DATE '{EVENT_AS_OF}', false) AND NOT coalesce(dd < DATE '1900-01-01', false)
+          AND NOT coalesce(count(*) OVER (PARTITION BY series_id, dd) > 1, false)
+          AND NOT coalesce(dd < lag(dd) OVER (PARTITION BY series_id ORDER BY event_id), false) AS ok
+        FROM (SELECT *, TRY_CAST(date_str AS DATE) AS dd FROM ev_raw) x) y
+  GROUP BY 1""")
 register("validate_observations", _validate, f"""
   SELECT series_id, pos, array_to_string(r, ',') AS reasons, len(r) = 0 AS is_valid
   FROM (SELECT series_id, event_id AS pos,
@@ -506,17 +523,35 @@ register("check_log_top_failing", lambda s, d: Q.check_log_monitor(check_log(s,
 def run_results_summary(spark: SparkSession, d: str) -> DataFrame:
     """Write the check results as a test-run JSON document and read it back."""
     from ..session import shared_path
+    path = shared_path(spark, f"run_results/{RUN_ID}-{uuid.uuid4().hex}")  # one document per call
+    _write_run_results(spark, d, path)
+    return O.run_results_summary(O.read_run_results(spark, path))
+
+
+def _write_run_results(spark: SparkSession, d: str, path: str) -> None:
+    """Write the check results as one test-run JSON document (``results`` array)."""
     log = check_log(spark, d)
     doc = log.agg(F.sort_array(F.collect_list(F.struct(  # one entry per check: bounded by the suite
         F.lit("test").alias("resource_type"),
         F.when(F.col("check_status") == "passed", "pass").otherwise("fail").alias("status"),
         F.col("check_type").alias("name"), F.col("check_id").alias("unique_id"),
         F.col("description").alias("message")))).alias("results"))
-    path = shared_path(spark, f"run_results/{RUN_ID}")
     doc.write.mode("overwrite").json(path)
-    return O.run_results_summary(O.read_run_results(spark, path))
 
 
+def run_results_failed(spark: SparkSession, d: str) -> DataFrame:
+    """The failed tests of a run-results document, one row each (S11: name, node id, status, message)."""
+    from ..session import shared_path
+    path = shared_path(spark, f"run_results/{RUN_ID}-{uuid.uuid4().hex}")  # one document per call
+    _write_run_results(spark, d, path)
+    r = O.read_run_results(spark, path)
+    return r.where(F.col("status") == "fail").select(F.col("name").alias("test_name"),
+                                                      F.col("unique_id").alias("node_id"), "status", "message")
+
+
+register("run_results_failed", run_results_failed, """
+  SELECT check_type AS test_name, check_id AS node_id, 'fail' AS status, description AS message
+  FROM check_log WHERE check_status <> 'passed'""")
 register("run_results_summary", run_results_summary, """
   SELECT 'schema' AS check_type, 'dbt_tests' AS resource_name,
          CASE WHEN count(*) FILTER (WHERE check_status <> 'passed') > 0 THEN 'failed' ELSE 'passed' END AS check_status,
