@@ -28,31 +28,24 @@ def align_many(frames: Sequence[tuple[str, DataFrame]], on: Sequence[str],
                presence_prefix: str = "_has_") -> DataFrame:
     """Align several sources on a shared key in ONE shuffle.
 
-    Instead of a chain of full outer joins (one shuffle each), every source is
-    projected to the union schema with nulls elsewhere, unioned, and grouped by
-    the key.  Each source has at most one row per key, so ``max`` of a column
-    is that source's value.  ``_has_<name>`` is 1 when the source has the key.
+    Instead of a chain of full outer joins (one shuffle each), the sources are
+    unioned by name (columns a source lacks are null) and grouped by the key.
+    Each source has at most one row per key, so ``max`` of a column is that
+    source's value.  ``_has_<name>`` is 1 when the source has the key, else 0.
     The aggregate is partial+final, so it also survives a hot key.
     """
     on = list(on)
-    value_cols: list[tuple[str, str, object]] = []  # (source, column, dtype)
-    for name, df in frames:
-        for f in df.schema.fields:
-            if f.name not in on:
-                value_cols.append((name, f.name, f.dataType))
+    value_cols: list[str] = []
     parts = []
     for name, df in frames:
-        sel = [F.col(k) for k in on]
-        for src, col, dtype in value_cols:
-            sel.append(F.col(col) if src == name else F.lit(None).cast(dtype).alias(col))
-        for src, _ in frames:
-            sel.append(F.lit(1 if src == name else 0).alias(presence_prefix + src))
-        parts.append(df.select(*sel))
+        cols = [c for c in df.columns if c not in on]
+        value_cols += cols
+        parts.append(df.select(*on, *cols, F.lit(1).alias(presence_prefix + name)))
     unioned = parts[0]
     for p in parts[1:]:
-        unioned = unioned.unionByName(p)
-    aggs = [F.max(col).alias(col) for _, col, _ in value_cols]
-    aggs += [F.max(presence_prefix + src).alias(presence_prefix + src) for src, _ in frames]
+        unioned = unioned.unionByName(p, allowMissingColumns=True)
+    aggs = [F.max(c).alias(c) for c in value_cols]
+    aggs += [F.coalesce(F.max(presence_prefix + n), F.lit(0)).alias(presence_prefix + n) for n, _ in frames]
     return unioned.groupBy(*on).agg(*aggs)
 
 
