@@ -61,6 +61,10 @@ INCREMENTAL_LOOKBACK_DAYS = 90
 ZSCORE_LOOKBACK_DAYS = 730
 ZSCORE_LIMIT = 3.0
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES — labels, intervals and texts the outputs must carry
+# ---------------------------------------------------------------------------
+
 # Rolling-average streams of the long table (M11): series, label, category.
 ROLLING_STREAMS = (
     ("CPIAUCSL", "CPI", "Inflation"),

@@ -349,6 +349,8 @@ def int_indicator_cross_correlations(ctx: Economy, frame: int = 12) -> DataFrame
 def reference_recession_case(year, month) -> tuple[Column, Column]:
     """The recession CASE exactly as the reference writes it (OR between bounds, ledger #5)."""
     y, m = F.col(year), F.col(month)
+    # FIXED VALUES: the reference's recession rule as written (year, month bounds
+    # joined by OR, so all of 2001 and 2020 match and 2008 does not) and names
     rules = [
         (((y == 2001) & (m >= 3)) | ((y == 2001) & (m <= 11)), "2001 Recession"),
         (((y == 2007) & (m >= 12)) | ((y == 2009) & (m <= 6)), "2007-2009 Financial Crisis"),
