@@ -86,7 +86,12 @@ class Economy:
         from pyspark import StorageLevel
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(self.observations.sparkSession)
-        self.observations = self.observations.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+        obs = self.observations
+        if self.keys:
+            # windows and grouped aggregates downstream are clustered by the
+            # economy keys: lay the panel out that way once, so they reuse it
+            obs = obs.repartition(*self.keys)
+        self.observations = obs.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
         self._memo.clear()
         return self
 
