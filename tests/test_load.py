@@ -89,3 +89,20 @@ def test_of_type_checks(spark):
     assert Q.of_type(M.stg_gdp(ctx), "gdp_billions_usd", ["decimal(18,2)"])
     assert Q.of_type(M.stg_cpi(ctx), "period_date_key", ["date", "timestamp"])
     assert not Q.of_type(M.stg_cpi(ctx), "cpi_index", ["double"])
+
+
+def test_dashboard_from_tables_equals_direct(spark, scratch):
+    from tidemark.plans.pipeline import write_models
+    from tidemark.plans.registry import driver_economy
+    from tidemark.plans import reports as RP
+    ctx = driver_economy(spark, "/root/testdata/sf0.001", True)
+    write_models(ctx, scratch, ["fct_inflation_analysis", "fct_recession_analysis", "fct_employment_analysis",
+                                "vw_economic_overview_dashboard"])
+    dash = RP.dashboard_from_tables(spark, scratch, ctx.keys)
+    direct = {"inflation": RP.inflation_history(ctx), "recession": RP.recession_history(ctx),
+              "employment": RP.employment_history(ctx), "overview": RP.overview(ctx)}
+    for name, df in dash.items():
+        cols = sorted(df.columns)
+        a = sorted(tuple(r) for r in df.select(*cols).collect())
+        b = sorted(tuple(r) for r in direct[name].select(*cols).collect())
+        assert a == b, name

@@ -153,3 +153,30 @@ def last_year(ctx: M.Economy) -> DataFrame:
     j = m.join(newest, on=ctx.K, how="inner") if ctx.K else m.crossJoin(F.broadcast(newest))
     return j.where(F.col(D) > F.add_months(F.col("_newest"), -12)).select(
         *ctx.K, D, "year_month", "yoy_inflation_rate_pct", "unemployment_rate_pct", "fedfunds_rate_pct")
+
+
+def dashboard_from_tables(spark, tables_dir: str, keys=(), after: str = HISTORY_FROM) -> dict[str, DataFrame]:
+    """R1-R4 as the dashboard runs them: over the mart tables a pipeline run wrote (``pipeline.write_models``).
+
+    The date filter is a plain column predicate on the stored table, so it
+    reaches the parquet scan; the economy key, if any, is a partition column.
+    """
+    base = tables_dir.rstrip("/")
+    k = list(keys)
+
+    def t(name):
+        return spark.read.parquet(f"{base}/{name}")
+    cutoff = F.col(D) > F.lit(after).cast("date")
+    return {
+        "overview": t("vw_economic_overview_dashboard"),
+        "inflation": t("fct_inflation_analysis").where(cutoff).select(
+            *k, D, "year_month", "yoy_inflation_rate_pct", "mom_inflation_change_pct", "inflation_severity_category",
+            "fedfunds_rate_pct", "fed_policy_stance_to_inflation").orderBy(*k, D),
+        "recession": t("fct_recession_analysis").where(cutoff).select(
+            *k, D, "year_quarter", "gdp_billions_usd", "qoq_growth_pct", "unemployment_rate_pct",
+            "yoy_inflation_rate_pct", "recession_risk_level", "recession_intensity_score",
+            "consecutive_negative_quarters").orderBy(*k, D),
+        "employment": t("fct_employment_analysis").where(cutoff).select(
+            *k, D, "year_month", "unemployment_rate_pct", "unemployment_yoy_change_pct", "unemployment_trend",
+            "housing_starts_thousands", "labor_market_health_score", "labor_market_condition").orderBy(*k, D),
+    }
