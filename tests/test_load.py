@@ -103,6 +103,6 @@ def test_dashboard_from_tables_equals_direct(spark, scratch):
               "employment": RP.employment_history(ctx), "overview": RP.overview(ctx)}
     for name, df in dash.items():
         cols = sorted(df.columns)
-        a = sorted(tuple(r) for r in df.select(*cols).collect())
-        b = sorted(tuple(r) for r in direct[name].select(*cols).collect())
+        a = sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+        b = sorted((tuple(r) for r in direct[name].select(*cols).collect()), key=repr)
         assert a == b, name
