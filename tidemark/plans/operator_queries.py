@@ -7,21 +7,16 @@ operators run on the segment panel.  Every query reads the driver tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import REFERENCE_THRESHOLDS as RT, SERIES
 from ..functions import rules as R
 from ..functions import series as S
-from ..functions.calendar import month_start
 from ..operators import align as A
-from ..operators import quality as Q
 from ..operators.panel import latest_flag, series_window
-from ..sources import observations as O
 from ..sources.panels import SEGMENT, order_month_facts, line_month_facts, part_month_panel, part_quarter_panel
 from ..sources.tables import read_table
 from . import models as M
-from . import reports as RP
 from .registry import driver_economy, register
 from .twins import K, cte, pct
 
