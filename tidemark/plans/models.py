@@ -75,13 +75,12 @@ class Economy:
         return self
 
     def materialize(self) -> "Economy":
-        """Cut the panel's lineage once: persist, then a reliable checkpoint in the shared folder.
+        """Cut the panel's lineage once with a reliable checkpoint in the shared folder.
 
         All models then plan over a one-node leaf (small plans, quick
         analysis) instead of re-expanding scans, joins and aggregates behind
-        every staged series.  Persisting first lets the checkpoint write read
-        the computed blocks instead of recomputing them; the checkpoint files
-        survive the loss of an executor.
+        every staged series.  The checkpoint files survive the loss of an
+        executor.
         """
         from pyspark import StorageLevel
         from ..session import ensure_checkpoint_dir
@@ -89,9 +88,13 @@ class Economy:
         obs = self.observations
         if self.keys:
             # windows and grouped aggregates downstream are clustered by the
-            # economy keys: lay the panel out that way once, so they reuse it
+            # economy keys: lay the panel out that way once, so they reuse it.
+            # The checkpoint's write job then reads the repartition's shuffle
+            # output instead of recomputing the panel.
             obs = obs.repartition(*self.keys)
-        self.observations = obs.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+        else:
+            obs = obs.persist(StorageLevel.MEMORY_AND_DISK)  # so the write job does not recompute it
+        self.observations = obs.checkpoint(eager=True)
         self._memo.clear()
         return self
 
