@@ -90,3 +90,15 @@ def test_upsert_with_a_hot_key(spark):
     row = out.where("k = 0 AND d = 0").collect()
     assert len(row) == 1 and row[0].seq == 2999
     assert out.count() == len({(k, d) for k, d, _, _ in hot + cold})
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 200), st.one_of(st.none(), st.integers(0, 9))),
+                min_size=1, max_size=80, unique_by=lambda t: (t[0], t[1])), st.integers(1, 7))
+def test_lag_by_position_equals_window_lag(spark, rows, bucket):
+    from pyspark.sql import Window, functions as F
+    from tidemark.operators.panel import lag_by_position
+    df = spark.createDataFrame(rows, "k string, pos long, v int")
+    got = {(r.k, r.pos): r.p for r in lag_by_position(df, ["k"], "pos", "v", "p", bucket).collect()}
+    exp = {(r.k, r.pos): r.p for r in df.select("k", "pos", F.lag("v").over(Window.partitionBy("k").orderBy("pos")).alias("p")).collect()}
+    assert got == exp

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_start
 from . import align as A
+from .panel import lag_by_position
 
 
 def _k(keys: Sequence[str]) -> list[Column]:
@@ -245,7 +246,8 @@ def missing_periods(df: DataFrame, keys: Sequence[str], date: str = "period_date
 
 
 def validate_observations(parsed_raw: DataFrame, as_of: str, keys: Sequence[str] = ("series_id",),
-                          date_str: str = "date_str", value_str: str = "value_str", pos: str = "pos") -> DataFrame:
+                          date_str: str = "date_str", value_str: str = "value_str", pos: str = "pos",
+                          bucket_size: int = 1_000_000) -> DataFrame:
     """Payload validation (X2): every reason an observation is invalid, and counts per series.
 
     Reasons: missing field, date not ISO, value not numeric, date in the
@@ -253,14 +255,13 @@ def validate_observations(parsed_raw: DataFrame, as_of: str, keys: Sequence[str]
     """
     d = F.try_to_date(F.col(date_str), "yyyy-MM-dd")
     num = F.expr(f"try_cast({value_str} AS DOUBLE)")
-    w_ord = Window.partitionBy(*_k(keys)).orderBy(F.col(pos))
     r = parsed_raw.select(*_k(keys), pos, date_str, value_str, d.alias("_d"), num.alias("_v"))
     # duplicates: an aggregate (partial, so a hot date combines map-side) joined back
     dups = r.where(F.col("_d").isNotNull()).groupBy(*_k(keys), "_d").agg(F.count(F.lit(1)).alias("_dups"))
     r = r.join(dups, on=list(keys) + ["_d"], how="left")
-    # order: compares each observation with the previous one of its payload (one
-    # API response, bounded by the source's page size)
-    r = r.withColumn("_prev", F.lag("_d").over(w_ord))
+    # order: each observation against the previous one of its series by position,
+    # computed in position buckets so a huge series is not sorted in one task
+    r = lag_by_position(r, keys, pos, "_d", "_prev", bucket_size)
     reasons = F.array_compact(F.array(
         F.when(F.col(date_str).isNull() | F.col(value_str).isNull(), F.lit("missing_field")),
         F.when(F.col(date_str).isNotNull() & F.col("_d").isNull(), F.lit("bad_date")),
