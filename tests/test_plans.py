@@ -34,3 +34,16 @@ def test_no_cartesian_product(spark):
     for name in ("fct_economic_indicators_monthly", "pairwise_corr_long", "missing_periods", "align_five"):
         p = plan(E.queries()[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_top_k_plans_group_limit_before_shuffle(spark):
+    for name in ("latest_per_key", "top_k_recent", "newest_months"):
+        df = E.queries()[name](spark, SF)
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in p, name
+
+
+def test_validation_has_no_whole_series_window(spark):
+    p = plan(E.queries()["validate_observations"](spark, SF))
+    for spec in re.findall(r"windowspecdefinition\(([^)]*)", p):
+        assert "_bucket" in spec, spec
