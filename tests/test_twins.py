@@ -27,3 +27,15 @@ def test_entry_runs(spark):
 def test_twin(spark, con, name):
     msg, ok = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
     assert ok, msg
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, con):
+    """Timestamps stay zone-less (timestamp_ntz): a non-UTC session gives the same results."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in ("scan_raw", "check_log", "upsert_latest_wins", "chk_source_freshness"):
+            msg, ok = compare(spark, con, n, E.queries()[n], E.oracle_sql()[n], SF)
+            assert ok, msg
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -151,9 +151,9 @@ cte("ev_keyed", """
 def _upsert(spark, d):
     e = read_table(spark, d, "events", "user_id", "event_type", "ts", "event_id", "value").select(
         "user_id", "event_type", F.col("ts").cast("date").alias("observation_date"), "event_id", "value", "ts")
-    cut = F.lit(EVENT_CUTOFF).cast("timestamp")
+    cut = F.lit(EVENT_CUTOFF).cast("timestamp_ntz")
     target = O.upsert(None, e.where(F.col("ts") < cut), ["user_id", "event_type", "observation_date"], "event_id")
-    updates = e.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp"))
+    updates = e.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
     return O.upsert(target, updates, ["user_id", "event_type", "observation_date"], "event_id")
 
 
@@ -306,7 +306,7 @@ register("chk_staleness", lambda s, d: Q.staleness(_obs(s, d), _expected(s, d),
 def _counts(spark, d, before=True):
     e = read_table(spark, d, "events", "event_type", "ts")
     if before:
-        e = e.where(F.col("ts") < F.lit(EVENT_CUTOFF).cast("timestamp"))
+        e = e.where(F.col("ts") < F.lit(EVENT_CUTOFF).cast("timestamp_ntz"))
     return Q.row_counts(e, ["event_type"])
 
 
@@ -321,7 +321,7 @@ register("chk_row_growth", lambda s, d: Q.row_count_growth(_counts(s, d, True),
 def _drop(spark, d):
     e = read_table(spark, d, "events", "event_type", "ts")
     before = Q.row_counts(e, ["event_type"])
-    after = Q.row_counts(e.where(F.col("ts") >= F.lit("2024-01-05").cast("timestamp")), ["event_type"])
+    after = Q.row_counts(e.where(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz")), ["event_type"])
     return Q.row_drop(before, after, ["event_type"], 0.10)
 
 
@@ -439,7 +439,7 @@ def check_log(spark: SparkSession, d: str) -> DataFrame:
     z = Q.latest_zscore(obs, "value", AS_OF, keys)
     dup = Q.unique(obs, keys + ["observation_date"])
     fresh = Q.source_freshness(obs, freshness_table(spark), AS_OF, keys)
-    loaded_before = obs.where(F.col("ingested_at") < F.lit("2001-06-01").cast("timestamp"))
+    loaded_before = obs.where(F.col("ingested_at") < F.lit("2001-06-01").cast("timestamp_ntz"))
     growth = Q.row_count_growth(Q.row_counts(loaded_before, keys), Q.row_counts(obs, keys), keys)
     counts = [
         stale.agg(F.count_if(F.col("status") != "fresh").alias("n")),
@@ -454,7 +454,7 @@ def check_log(spark: SparkSession, d: str) -> DataFrame:
         rows = r if rows is None else rows.unionByName(r)
     run = F.lit(RUN_ID)
     return rows.select(F.sha2(F.concat_ws("|", run, F.col("check_type"), F.col("resource_name")), 256).alias("check_id"),
-                       F.lit(AS_OF).cast("timestamp").alias("check_timestamp"), run.alias("pipeline_run_id"),
+                       F.lit(AS_OF).cast("timestamp_ntz").alias("check_timestamp"), run.alias("pipeline_run_id"),
                        "check_type", "resource_name", "check_status", "severity", "metric_value", "threshold_value",
                        "description")
 

@@ -45,7 +45,7 @@ def order_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | No
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("sum_price"),
         F.count_if(F.col("o_orderstatus") == "F").alias("n_f"),
-        F.max(F.col("o_orderdate").cast("timestamp")).alias("last_ts"))
+        F.max(F.col("o_orderdate").cast("timestamp_ntz")).alias("last_ts"))
 
 
 def line_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def line_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | Non
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col("l_discount").cast("decimal(12,2)")).alias("sum_disc"),
         F.sum(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("sum_unit"),
-        F.max(F.col("l_shipdate").cast("timestamp")).alias("last_ts"))
+        F.max(F.col("l_shipdate").cast("timestamp_ntz")).alias("last_ts"))
 
 
 def _obs(df: DataFrame, keys: list[str], series_id: str, date, value) -> DataFrame:
@@ -119,7 +119,7 @@ def event_day_panel(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("
     return e.groupBy(*[F.col(k) for k in keys], F.col("ts").cast("date").alias("observation_date")).agg(
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"),
         F.count(F.lit(1)).alias("n_events"),
-        F.max(F.col("ts").cast("timestamp")).alias("ingested_at"))
+        F.max(F.col("ts").cast("timestamp_ntz")).alias("ingested_at"))
 
 
 def part_month_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
