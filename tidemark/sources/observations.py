@@ -95,6 +95,24 @@ def write_upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Seque
     return spark.read.parquet(path)
 
 
+OBSERVATION_COLUMNS = ("observation_date", "value", "units", "frequency", "ingested_at")
+
+
+def write_observations(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
+    """Store an observation panel as the raw table: parquet partitioned by ``series_id``.
+
+    One directory per series, so reading one series prunes the others
+    (``PartitionFilters``), and an upsert rewrites only the series it touches.
+    """
+    df.select(*keys, "series_id", *OBSERVATION_COLUMNS).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("series_id").parquet(path)
+
+
+def read_observations(spark: SparkSession, path: str) -> DataFrame:
+    """Read the stored raw observation table; filters on ``series_id`` prune directories."""
+    return spark.read.parquet(path)
+
+
 def high_water_mark(df: DataFrame, keys: Sequence[str] = ("series_id",), date: str = "observation_date") -> DataFrame:
     """Latest observation date per series (S4); an empty series has no row."""
     return df.groupBy(*[F.col(k) for k in keys]).agg(F.max(date).alias("latest_date"))
