@@ -221,7 +221,8 @@ def int_financial_conditions(ctx: Economy) -> DataFrame:
             *ctx.K, F.col("period_date").alias("s_period_date"), D, "sentiment_index",
             S.pct_change(S.as_double("sentiment_index"), w, 12).alias("sentiment_yoy_change_pct"),
             R.outlook("sentiment_index", t.sentiment_pivot).alias("sentiment_outlook"))
-        j = A.align_full(f, s, ctx.K + [D])
+        # full outer alignment of the two series: one union + grouped aggregate
+        j = A.align_many([("f", f), ("s", s)], ctx.K + [D])
         stress = R.flag((F.col("rate_direction") == "Rising") & (F.col("sentiment_outlook") == "Pessimistic"))
         return j.select(*ctx.K, F.coalesce("f_period_date", "s_period_date").alias("period_date"), D,
                         "fedfunds_rate_pct", "rate_change_bps", "rate_direction", "sentiment_index",
@@ -293,7 +294,10 @@ def int_recession_indicators(ctx: Economy) -> DataFrame:
                                                  "is_labor_market_healthy")
         i = int_cpi_inflation_rates(ctx).select(*on, "yoy_inflation_rate_pct", "inflation_severity_category")
         s = int_financial_conditions(ctx).select(*on, "sentiment_index", "sentiment_outlook")
-        j = A.quarter_start_join(A.quarter_start_join(A.quarter_start_join(g, u, ctx.K), i, ctx.K), s, ctx.K)
+        # GDP quarters left-joined to the first month of each quarter (J4): the
+        # four sources aligned in one union + grouped aggregate, keeping the keys
+        # GDP has (a left join when every source has one row per key)
+        j = A.align_many([("g", g), ("u", u), ("i", i), ("s", s)], on).where(F.col("_has_g") == 1)
         w = ctx.window()
         j = j.withColumn("consecutive_negative_quarters", S.rolling_count_if("is_qoq_negative_growth", w, 4))
         return j.select(*on, "gdp_billions_usd", "qoq_growth_pct", "yoy_growth_pct", "unemployment_rate_pct",
