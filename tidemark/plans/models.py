@@ -20,7 +20,7 @@ from ..config import (DATA_SOURCE, FACTOR_LABELS, RECESSION_INTERVALS, RISK_SUMM
                       ROLLING_STREAMS, ROLLING_WINDOWS, SERIES_BY_ID, Thresholds, REFERENCE_THRESHOLDS)
 from ..functions import rules as R
 from ..functions import series as S
-from ..functions.calendar import month_start, year_month_of, year_quarter_of
+from ..functions.calendar import month_start, quarter_start, year_month_of, year_quarter_of
 from ..operators import align as A
 from ..operators.panel import latest_flag, series_window
 
@@ -318,16 +318,29 @@ CORR_PAIRS = (
 
 
 def quarter_indicator_means(ctx: Economy) -> DataFrame:
-    """Quarter means of the four monthly inputs of M13, aligned in one shuffle (J5 pre-aggregation)."""
+    """GDP quarters with the quarter means of the four monthly inputs of M13, in ONE aggregate.
+
+    Each monthly source is projected to its quarter start and all sources are
+    unioned by name; a single ``groupBy(keys, quarter)`` then averages every
+    monthly column (avg ignores the other sources' nulls) and keeps the one
+    GDP row of the quarter.  No fan-out, no join, one shuffle.
+    """
     on = ctx.K + [D]
-    monthly = A.align_many([
-        ("u", int_labor_market_metrics(ctx).select(*on, S.as_double("unemployment_rate_pct").alias("unemployment_rate_pct"))),
-        ("i", int_cpi_inflation_rates(ctx).select(*on, "yoy_inflation_rate_pct")),
-        ("f", stg_federal_funds_rate(ctx).select(*on, S.as_double("fedfunds_rate_pct").alias("fedfunds_rate_pct"))),
-        ("s", stg_consumer_sentiment(ctx).select(*on, S.as_double("sentiment_index").alias("sentiment_index"))),
-    ], on)
-    return A.to_quarter_means(monthly, ctx.K, ["unemployment_rate_pct", "yoy_inflation_rate_pct",
-                                               "fedfunds_rate_pct", "sentiment_index"], D)
+    q = quarter_start(D).alias(D)
+    g = int_gdp_with_yoy_change(ctx).where(F.col("gdp_billions_usd").isNotNull()).select(
+        *on, S.as_double("gdp_billions_usd").alias("gdp_billions_usd"), F.lit(1).alias("_has_g"))
+    parts = [g,
+             int_labor_market_metrics(ctx).select(*ctx.K, q, S.as_double("unemployment_rate_pct").alias("unemployment_rate_pct")),
+             int_cpi_inflation_rates(ctx).select(*ctx.K, q, "yoy_inflation_rate_pct"),
+             stg_federal_funds_rate(ctx).select(*ctx.K, q, S.as_double("fedfunds_rate_pct").alias("fedfunds_rate_pct")),
+             stg_consumer_sentiment(ctx).select(*ctx.K, q, S.as_double("sentiment_index").alias("sentiment_index"))]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    means = ["unemployment_rate_pct", "yoy_inflation_rate_pct", "fedfunds_rate_pct", "sentiment_index"]
+    agg = u.groupBy(*on).agg(F.max("gdp_billions_usd").alias("gdp_billions_usd"),
+                             *[F.avg(c).alias(c) for c in means], F.max("_has_g").alias("_has_g"))
+    return agg.where(F.col("_has_g") == 1).drop("_has_g")
 
 
 def int_indicator_cross_correlations(ctx: Economy, frame: int = 12) -> DataFrame:
@@ -335,9 +348,7 @@ def int_indicator_cross_correlations(ctx: Economy, frame: int = 12) -> DataFrame
     def build():
         t = ctx.thresholds
         on = ctx.K + [D]
-        g = int_gdp_with_yoy_change(ctx).where(F.col("gdp_billions_usd").isNotNull()).select(
-            *on, S.as_double("gdp_billions_usd").alias("gdp_billions_usd"))
-        nd = g.join(quarter_indicator_means(ctx), on=on, how="left")
+        nd = quarter_indicator_means(ctx)
         w = ctx.window()
         corr = nd.select(*on, *[S.round_half_up(S.rolling_corr(x, y, w, frame), 3).alias(name)
                                 for name, x, y in CORR_PAIRS])
@@ -463,24 +474,33 @@ QUARTER_AVG_COLS = ("cpi_index", "yoy_inflation_rate_pct", "unemployment_rate_pc
 
 
 def fct_economic_indicators_quarterly(ctx: Economy) -> DataFrame:
-    """GDP quarters ⟗ quarter means of the monthly fact ⟕ recession signals (M16: A1 J3)."""
+    """GDP quarters ⟗ quarter means of the monthly fact ⟕ recession signals (M16: A1 J3).
+
+    All three sources are unioned by name on (keys, quarter) and reduced by
+    ONE grouped aggregate: the monthly columns are averaged (A1), the GDP and
+    recession columns have one row per quarter and pass through ``max``.  The
+    recession signals exist only for GDP quarters, so the left join holds.
+    """
     def build():
         on = ctx.K + [D]
-        g = int_gdp_with_yoy_change(ctx).select(*on, "gdp_billions_usd", "qoq_growth_pct", "yoy_growth_pct",
-                                                "is_qoq_negative_growth", "is_yoy_negative_growth",
-                                                F.lit(True).alias("_g"))
-        qa = A.rollup_period(fct_economic_indicators_monthly(ctx), ctx.K, QUARTER_AVG_COLS, "quarter", D) \
-            .withColumnRenamed("year", "qa_year").withColumnRenamed("quarter", "qa_quarter")
-        rs = int_recession_indicators(ctx).select(*on, "recession_risk_level", "recession_intensity_score",
-                                                  "consecutive_negative_quarters")
-        j = g.join(qa, on=on, how="full").join(rs, on=on, how="left")
-        year = F.when(F.col("_g"), F.year(D)).otherwise(F.col("qa_year"))
-        quarter = F.when(F.col("_g"), F.quarter(D)).otherwise(F.col("qa_quarter"))
+        gcols = ["gdp_billions_usd", "qoq_growth_pct", "yoy_growth_pct", "is_qoq_negative_growth",
+                 "is_yoy_negative_growth"]
+        rcols = ["recession_risk_level", "recession_intensity_score", "consecutive_negative_quarters"]
+        g = int_gdp_with_yoy_change(ctx).select(*on, *gcols, F.lit(1).alias("_has_g"))
+        m = fct_economic_indicators_monthly(ctx).select(
+            *ctx.K, quarter_start(D).alias(D), *[S.as_double(c).alias(f"avg_{c}") for c in QUARTER_AVG_COLS],
+            F.lit(1).alias("_has_qa"))
+        rs = int_recession_indicators(ctx).select(*on, *rcols)
+        u = g.unionByName(m, allowMissingColumns=True).unionByName(rs, allowMissingColumns=True)
+        j = u.groupBy(*on).agg(*[F.max(c).alias(c) for c in gcols],
+                               *[F.avg(f"avg_{c}").alias(f"avg_{c}") for c in QUARTER_AVG_COLS],
+                               *[F.max(c).alias(c) for c in rcols],
+                               F.max("_has_g").alias("_has_g"), F.max("_has_qa").alias("_has_qa"))
+        j = j.where((F.col("_has_g") == 1) | (F.col("_has_qa") == 1))
+        year, quarter = F.year(D), F.quarter(D)
         return j.select(*on, F.col(D).alias("period_date_quarter"), year.alias("year"), quarter.alias("quarter"),
-                        year_quarter_of(year, quarter).alias("year_quarter"),
-                        "gdp_billions_usd", "qoq_growth_pct", "yoy_growth_pct", "is_qoq_negative_growth",
-                        "is_yoy_negative_growth", *[f"avg_{c}" for c in QUARTER_AVG_COLS],
-                        "recession_risk_level", "recession_intensity_score", "consecutive_negative_quarters")
+                        year_quarter_of(year, quarter).alias("year_quarter"), *gcols,
+                        *[f"avg_{c}" for c in QUARTER_AVG_COLS], *rcols)
     return ctx.memo("fct_quarterly", build)
 
 
