@@ -128,3 +128,18 @@ def test_stored_panel_prunes_series_partitions(spark, scratch):
                                  thresholds=DRIVER_PANEL_THRESHOLDS))
     cols = [SEGMENT, "period_date_key", "cpi_index", "is_latest"]
     assert sorted(map(tuple, stg.select(*cols).collect())) == sorted(map(tuple, direct.select(*cols).collect()))
+
+
+def test_upsert_rewrites_only_touched_series(spark, scratch):
+    import glob as _glob
+    import os as _os
+    path = _os.path.join(scratch, "obs")
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 2, 1)
+    first = spark.createDataFrame([("A", d1, 1.0, 1), ("B", d1, 2.0, 2)], SCHEMA)
+    O.write_upsert(spark, first, path, ["series_id", "observation_date"], "seq", "series_id")
+    b_files = sorted(_glob.glob(_os.path.join(path, "series_id=B", "*.parquet")))
+    second = spark.createDataFrame([("A", d1, 10.0, 3), ("A", d2, 11.0, 4)], SCHEMA)
+    out = O.write_upsert(spark, second, path, ["series_id", "observation_date"], "seq", "series_id")
+    assert sorted(_glob.glob(_os.path.join(path, "series_id=B", "*.parquet"))) == b_files  # untouched
+    got = sorted((r.series_id, str(r.observation_date), r.value) for r in out.collect())
+    assert got == [("A", "2020-01-01", 10.0), ("A", "2020-02-01", 11.0), ("B", "2020-01-01", 2.0)]

@@ -667,3 +667,5 @@ register("user_missing_days", lambda s, d: Q.missing_periods(user_day_panel(s, d
            CAST(unnest(generate_series(min(observation_date), max(observation_date), INTERVAL 1 DAY)) AS DATE) AS missing_period
     FROM ud GROUP BY 1, 2) s
   ANTI JOIN ud u ON s.user_id = u.user_id AND s.event_type = u.event_type AND s.missing_period = u.observation_date""")
+register("recent_checks", lambda s, d: Q.recent_checks(check_log(s, d), 50), """
+  SELECT * FROM check_log ORDER BY check_timestamp DESC, check_id DESC LIMIT 50""", ("metric_value", "threshold_value"))
