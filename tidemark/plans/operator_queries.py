@@ -146,7 +146,7 @@ register("negative_growth_flags", lambda s, d: pm_mom(s, d).select(
     S.negative_flag("yoy_change_pct").alias("is_yoy_negative")),
     """SELECT l_partkey, period_date_key, coalesce(mom_change_pct < 0, false) AS is_mom_negative,
               coalesce(yoy_change_pct < 0, false) AS is_yoy_negative FROM pm_mom""")
-register("sentiment_outlook", lambda s, d: M.stg_consumer_sentiment(driver_economy(s, d)).select(
+register("sentiment_outlook", lambda s, d: M.stg_consumer_sentiment(driver_economy(s, d, share=False)).select(
     SEGMENT, D, "sentiment_index", R.outlook("sentiment_index", 100.0).alias("sentiment_outlook")),
     f"""SELECT {K}, period_date_key, sentiment_index,
        CASE WHEN sentiment_index > 100 THEN 'Optimistic' WHEN sentiment_index < 100 THEN 'Pessimistic' ELSE 'Neutral' END

@@ -29,7 +29,7 @@ def _obs(spark, d):
 
 
 # ------------------------------------------------------------------ S2-S8 on the segment panel
-register("scan_raw", lambda s, d: M.scan_raw(driver_economy(s, d), "CPIAUCSL"),
+register("scan_raw", lambda s, d: M.scan_raw(driver_economy(s, d, share=False), "CPIAUCSL"),
          f"SELECT {K}, observation_date, series_id, value, CAST(ingested_at AS TIMESTAMP) AS ingested_at FROM obs "
          f"WHERE series_id = 'CPIAUCSL'", ("value",))
 register("row_counts", lambda s, d: Q.row_counts(_obs(s, d), [SEGMENT, "series_id"]),

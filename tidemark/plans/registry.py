@@ -38,15 +38,17 @@ def double_columns(df: DataFrame) -> tuple[str, ...]:
     return tuple(f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType)))
 
 
-def driver_economy(spark: SparkSession, sf_dir: str, materialize: bool = False) -> M.Economy:
+def driver_economy(spark: SparkSession, sf_dir: str, materialize: bool = False, share: bool = True) -> M.Economy:
     """Segment panel from the driver tables with thresholds in its units.
 
     ``materialize`` cuts the panel's lineage once (``Economy.materialize``):
     worth it when the plan re-reads the panel many times (composite models,
     reports, the check suite); a single-series query instead keeps the lazy
-    plan, which prunes the branches it does not need (CPI never scans orders).
+    plan, which prunes the branches it does not need (CPI never scans orders),
+    and with ``share=False`` skips persisting frames that only one branch reads.
     """
-    ctx = M.Economy(segment_observations(spark, sf_dir), keys=(SEGMENT,), thresholds=DRIVER_PANEL_THRESHOLDS)
+    ctx = M.Economy(segment_observations(spark, sf_dir, share or materialize), keys=(SEGMENT,),
+                    thresholds=DRIVER_PANEL_THRESHOLDS)
     return ctx.materialize() if materialize else ctx
 
 
@@ -89,6 +91,10 @@ MODEL_DOUBLES = {
                                        "yoy_growth_pct"),
 }
 
+# models that read one series of the panel (one branch: nothing to share)
+SINGLE_SERIES = {"stg_gdp", "stg_cpi", "stg_unemployment_rate", "stg_federal_funds_rate", "stg_consumer_sentiment",
+                 "stg_housing_starts", "int_gdp_with_yoy_change", "int_cpi_inflation_rates", "int_labor_market_metrics"}
+
 for _name, _fn in M.MODELS.items():
-    register(_name, lambda spark, sf_dir, _f=_fn, _m=_name in COMPOSITE: _f(driver_economy(spark, sf_dir, _m)),
-             TW.MODEL_SELECT[_name], MODEL_DOUBLES[_name])
+    register(_name, lambda spark, sf_dir, _f=_fn, _m=_name in COMPOSITE, _s=_name not in SINGLE_SERIES:
+             _f(driver_economy(spark, sf_dir, _m, _s)), TW.MODEL_SELECT[_name], MODEL_DOUBLES[_name])

@@ -77,22 +77,27 @@ def _obs(df: DataFrame, keys: list[str], series_id: str, date, value) -> DataFra
                      F.col("last_ts").alias("ingested_at"))
 
 
-def segment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segment_observations(spark: SparkSession, sf_dir: str, share: bool = True) -> DataFrame:
     """Six indicator series per market segment, long form.
 
     housing = orders per month; sentiment = mean order price / 2500;
     unemployment = % of orders with status F; GDP = quarterly price sum / 1e6;
     fed funds = 100 × mean discount; CPI = mean unit price / 10.
     Each branch carries its ``series_id`` as a literal, so a filter on one
-    series prunes the other branches at planning time.
+    series prunes the other branches at planning time.  With ``share`` the
+    frames several branches read are persisted, so their scans and joins run
+    once when the whole panel is built.
     """
     keys = [SEGMENT]
     # orders ⋈ customer feeds both sides (order facts, and the segment of each
     # line item's order): computed once.  The two month aggregates feed four and
     # two series.  Persisted blocks lost with an executor are recomputed.
-    seg = order_segments(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    om = order_month_facts(spark, sf_dir, seg).persist(StorageLevel.MEMORY_AND_DISK)
-    lm = line_month_facts(spark, sf_dir, seg).persist(StorageLevel.MEMORY_AND_DISK)
+    # ``share=False`` is for a query that reads one branch only (nothing re-read).
+    def keep(df):
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if share else df
+    seg = keep(order_segments(spark, sf_dir))
+    om = keep(order_month_facts(spark, sf_dir, seg))
+    lm = keep(line_month_facts(spark, sf_dir, seg))
     gq = om.groupBy(F.col(SEGMENT), quarter_start("m").alias("m")).agg(
         F.sum("sum_price").alias("sum_price"), F.max("last_ts").alias("last_ts"))
     parts = [
