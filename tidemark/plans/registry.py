@@ -24,11 +24,17 @@ ORACLE: dict[str, str] = {}
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Round double columns to 6 decimals (and fold -0.0) for engine-independent comparison."""
+    """Round double columns to 6 decimals for engine-independent comparison.
+
+    The rounding goes through DECIMAL(38,9) and rounds half up there: both
+    engines turn a double into a decimal from its shortest decimal form, so an
+    exact half (a value like -0.8359375) or summation noise far below 1e-9
+    rounds the same way in both.  Decimals carry no negative zero.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append((F.round(F.col(f.name), 6) + F.lit(0.0)).alias(f.name))
+            cols.append(F.round(F.col(f.name).cast("decimal(38,9)"), 6).cast("double").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

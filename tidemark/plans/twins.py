@@ -44,7 +44,7 @@ def compose(select: str, doubles: tuple[str, ...] = ()) -> str:
     if order:
         sql = "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order) + "\n" + select
     if doubles:
-        rep = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in doubles)
+        rep = ", ".join(f"CAST(round(CAST({c} AS DECIMAL(38,9)), 6) AS DOUBLE) AS {c}" for c in doubles)
         sql = f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
     return sql
 
