@@ -5,28 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import mixing, near_dup, packing, quality_rules, suffix_dedup
+from . import license_scan, mixing, near_dup, packing, quality_rules, suffix_dedup, token_files, vector_dedup, warc, wordpiece
 from .common import documents
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known license notices in all documents: a row per document and notice."""
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chosen-path join over 4-word shingles of all documents, 80 per cent or more."""
     return near_dup.link(documents(spark, sf_dir), near_dup.ChosenPath(words=4, threshold_pct=80))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level BPE ids in Simple-8b files, read back."""
+    folder, manifest = token_files.write(documents(spark, sf_dir), token_files.TokenFiles(tokenizer="byte_bpe_50k.json", end_id=0))
+    return token_files.read(folder, manifest)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that 100-byte strings with an earlier start cover."""
     return suffix_dedup.repeat_digests(documents(spark, sf_dir), suffix_dedup.Repeats(length=100))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, normalised to a member per record, and read back by the index."""
+    a = warc.Archive(least=1000)
+    folder, rough = warc.write(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), a)
+    members = warc.normalise(folder, rough, a, remove=True)
+    return warc.read(folder, members).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 per cent of their words, sources weighing 5, 2, 1."""
     t = mixing.take(documents(spark, sf_dir), mixing.Mix(weights=(5.0, 2.0, 1.0), budget=1.5, most=2.0))
     return t.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of cosine 0.9 or more linked by sorted projection passes."""
+    return vector_dedup.link(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"), vector_dedup.Passes(cosine=0.9))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens; capacities of documents and cost that 4096 tokens imply."""
     p = packing.Packing(tokens=4096, documents=4096, cost=4096.0 ** 2)
@@ -38,6 +61,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(documents(spark, sf_dir))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of all documents."""
+    return wordpiece.token_counts(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """corpus_pipeline.run: quality rules, near-dedup, repeat removal, mixing, packing."""
     import corpus_pipeline
@@ -45,7 +73,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_near_dup": op2_near_dup, "op4_suffix_dedup": op4_suffix_dedup, "op6_mixing": op6_mixing,
-    "op8_packing": op8_packing, "op9_quality_rules": op9_quality_rules, "pipeline": pipeline,
-}
+    f.__name__: f for f in (op1_license_scan, op2_near_dup, op3_token_files, op4_suffix_dedup, op5_warc, op6_mixing, op7_vector_dedup,
+                            op8_packing, op9_quality_rules, op10_token_counts, pipeline)}
 ORACLE: dict[str, str] = {}
