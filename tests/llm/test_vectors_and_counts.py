@@ -17,7 +17,7 @@ def test_links_equal_brute_force(spark):
     rows = [list(map(float, np.float32(r))) for r in rows]
     rows += [None, [], [0.0] * 16, [1.0] * 15 + [None], [float("nan")] * 16, [float("inf")] + [0.0] * 15, [1.0] * 3, [1.0] * 3]
     d = spark.createDataFrame([(i, v, "x", 0) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, cls string, dim int")
-    got = {r.vec_id: r for r in vd.link(d, vd.Passes(window=8, passes=12)).collect()}
+    got = {r.vec_id: r for r in vd.link(d, vd.Passes(window=48, passes=12)).collect()}
     ok = [i for i, v in enumerate(rows) if v and None not in v and np.isfinite(v).all() and np.any(v)]
     n, u = dict.fromkeys(range(len(rows)), 0), brute.Union()
     for i in ok:
