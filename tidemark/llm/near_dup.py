@@ -4,14 +4,15 @@ Each document's set is its distinct word shingles.  Documents with equal sets
 form a class, and one member stands for it.  Independent trees branch the
 classes by minwise tokens (level 1: one token per tree).  A node of at most
 ``small`` classes is compared exhaustively; a larger one first links its
-members to a pivot and then branches again by two more tokens per level until
-it is small, or all of its members are connected anyway.  What is still large
+members to a pivot, and in further rounds to fresh pivots those that are not
+connected yet, and then branches again by two more tokens per level until it is
+small, or all of its members are connected anyway.  What is still large
 at the last level is compared in full, minority against node, so no node is
 cut off.  Pairs pass a signature estimate and are confirmed on full sets.
 
 A pair at the threshold t meets in a tree's first node with probability t, so
 ``trees`` independent trees miss it with (1 - t)**trees: 0.8 and 8 trees give
-2.6e-6, and the estimate's margin of six standard deviations about 1e-8.
+2.6e-6, and the estimate's margin of 4.5 standard deviations about 3e-6.
 
 Defined cases: null or wordless text: empty set, linked with nothing.  Fewer
 words than ``words``: the whole sequence is the one shingle.  A null id is not
@@ -42,10 +43,11 @@ class ChosenPath:
     threshold_pct: int = 80   # link if 100 * intersection >= threshold_pct * union
     trees: int = 8
     deep: int = 16            # further tokens that deeper levels choose from
-    sketch: int = 64          # minwise bytes of the estimate
-    margin: float = 6.0       # standard deviations below the threshold that an estimate may lie
+    sketch: int = 128         # minwise bytes of the estimate
+    margin: float = 4.5       # standard deviations below the threshold that an estimate may lie
+    stars: int = 3            # rounds of stars from fresh pivots in large nodes that hold several components
     small: int = 8            # classes in a node that is compared exhaustively
-    depth: int = 6            # levels; what is large below is compared in full
+    depth: int = 3            # levels; what is large below is compared in full
 
     @property
     def least_equal(self) -> int:
@@ -205,10 +207,28 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     linked = _confirmed(star, sets, p, "nd-links")
     label = components(linked)
 
-    # the rest: nodes that hold unconnected members, branched until small
-    rows = (nodes.select("node", "rep").join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            .select("node", "rep", F.coalesce("component", "rep").alias("comp")))
-    rows = _open_nodes(rows, "nd-open").join(stand, "rep")
+    # large nodes of several components: stars from fresh pivots, so that dense groups grow together
+    # by a few links a member before anything is compared in full
+    def open_rows(label):
+        named = label.select(F.col("node").alias("rep"), "component")
+        rows = nodes.select("node", "rep").join(named, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("comp"))
+        return _open_nodes(rows, "nd-open")
+    rows = open_rows(label)
+    for k in range(p.stars):
+        large = rows.where(F.col("size") > p.small)
+        fresh = cut(large.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "rep", F.lit(k)).alias("h"), "rep", "comp")).alias("p"))
+                    .select("node", F.col("p.rep").alias("x"), F.col("p.comp").alias("cx")), "nd-fresh")
+        pairs = large.join(fresh, "node").where("comp != cx and rep != x").select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+        pairs = cut(_attach(pairs, stand, "sketch").mapInArrow(_alike(p.least_equal), "a long, b long"), "nd-star")
+        new = _confirmed(pairs, sets, p, "nd-links")
+        if new.isEmpty():
+            break
+        old = label
+        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
+        rows = open_rows(label)
+        drop(fresh, pairs, new, old)
+    # the rest: branched until small
+    rows = rows.join(stand, "rep")
     found, made = [], []
     for level in range(1, p.depth + 1):
         rows = cut(rows, "nd-level")
