@@ -12,7 +12,7 @@ then as little-endian arrays: document ids (8 bytes), null flags of them
 (8 bytes), words (8 bytes).
 
 Defined cases: a null or empty text is the end id alone; null document ids
-come last; rows that repeat an id are written each, ordered by text; an empty
+come last; rows that repeat an id are written each, ordered by a hash of the text; an empty
 table writes no file.
 """
 
@@ -117,7 +117,7 @@ def write(docs: DataFrame, f: TokenFiles = TokenFiles(), folder: str | None = No
     tune(spark)
     folder = folder or shared_path(spark, f"token-files-{uuid.uuid4().hex}")
     d = only(docs, **{"doc_id": id_col, "text": text}).withColumn("doc_id", F.col("doc_id").cast("long"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_last()]
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]  # short keys: the range sample holds no text
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = d.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
         _write(folder, f), "pid int, k int, file string, documents long, ids long")

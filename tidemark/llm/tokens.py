@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MOST = 700_000
+MOST = 1_300_000
 #: what str.split() takes for white space and Unicode does not
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _OPEN: dict[tuple, "Encoder"] = {}
