@@ -128,7 +128,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, s: Scan = Sca
         by.setdefault(size_class(len(w), s), []).append(name)
     table = spark.createDataFrame([(n, c, template_shingles(words[n], s.shingle)) for c, names in by.items() for n in names],
                                   "license_id string, cls int, want array<string>")
-    bands = table.select("license_id", "cls", "want", F.posexplode(_minhash("want", s.bands)).alias("band", "value"))
+    bands = table.select("license_id", "cls", F.posexplode(_minhash("want", s.bands)).alias("band", "value"))
 
     d = only(docs, **{"doc_id": id_col, "text": text})
     keys = {c: key_words([words[n] for n in names], s) for c, names in by.items()}
@@ -144,8 +144,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, s: Scan = Sca
     win = d.select("doc_id", F.explode(F.flatten(F.array(*kinds))).alias("x")).select("doc_id", "x.*")
     win = win.select("doc_id", "cls", "first", _shingles("words", s.shingle).alias("have"))
     cand = win.select("doc_id", "cls", "first", "have", F.posexplode(_minhash("have", s.bands)).alias("band", "value"))
-    cand = cand.join(bands, ["cls", "band", "value"])
-    # one band that meets is enough: verify here, so that no candidate is shuffled
+    # one band that meets is enough. Shingles are joined to the few candidates only, by the template's name
+    cand = cand.join(bands, ["cls", "band", "value"]).join(table.select("license_id", "want"), "license_id")
     both = F.size(F.array_intersect("have", "want"))
     ok = cand.withColumn("matched", both).where(F.col("matched") >= F.lit(s.threshold) * F.size("want"))
     best = ok.groupBy("doc_id", "license_id").agg(
