@@ -143,3 +143,33 @@ def test_upsert_rewrites_only_touched_series(spark, scratch):
     assert sorted(_glob.glob(_os.path.join(path, "series_id=B", "*.parquet"))) == b_files  # untouched
     got = sorted((r.series_id, str(r.observation_date), r.value) for r in out.collect())
     assert got == [("A", "2020-01-01", 10.0), ("A", "2020-02-01", 11.0), ("B", "2020-01-01", 2.0)]
+
+
+def test_unreadable_table_raises_and_keeps_rows(spark, scratch):
+    import pytest
+    from tidemark.sources.observations import write_upsert
+    path = f"{scratch}/table"
+    kind = "series_id string, observation_date string, value double, seq long"
+    first = spark.createDataFrame([("A", f"2024-01-0{i}", 1.0, 1) for i in (1, 2, 3)], kind)
+    write_upsert(spark, first, path, ("series_id", "observation_date"), "seq", "series_id")
+    bad = f"{path}/series_id=A/part-broken.parquet"
+    with open(bad, "wb") as f:
+        f.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        write_upsert(spark, first.limit(1), path, ("series_id", "observation_date"), "seq", "series_id")
+    os.remove(bad)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_malformed_payloads_are_kept_by_the_stream(spark, scratch):
+    import json
+    from tidemark.streaming.incremental import load_stream
+    os.makedirs(f"{scratch}/in")
+    good = json.dumps({"observations": [{"date": "2024-01-01", "value": "1"}, {"date": "2024-01-01", "value": "2"}, {"date": "x", "value": "3"}]})
+    rows = [("A", 1, good), ("A", 1, "{broken"), ("B", 1, json.dumps({"other": 1}))]
+    with open(f"{scratch}/in/a.json", "w") as f:
+        f.writelines(json.dumps(dict(zip(("series_id", "seq", "payload"), r))) + "\n" for r in rows)
+    load_stream(spark, f"{scratch}/in", f"{scratch}/t", f"{scratch}/c")
+    assert [(r.series_id, r.value) for r in spark.read.parquet(f"{scratch}/t").collect()] == [("A", 2.0)]  # last by place
+    q = spark.read.parquet(f"{scratch}/t_quarantine").collect()
+    assert sorted(r.reason for r in q) == ["bad_date", "bad_payload"]

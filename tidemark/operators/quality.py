@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT_STALE_DAYS
 from ..functions.calendar import month_start
 from . import align as A
 from .panel import lag_by_position
@@ -107,11 +108,11 @@ def source_freshness(df: DataFrame, thresholds: DataFrame, as_of: str, keys: Seq
                      loaded_at: str = "ingested_at", series_col: str = "series_id") -> DataFrame:
     """Age of the newest load time against warn/error days (Q10).
 
-    ``thresholds``: the registry (series_id, warn_days, error_days), broadcast
-    (bounded by the number of configured series).
+    ``thresholds``: the registry (series_id, warn_days, error_days); how it is
+    joined is left to the planner, which sees its size.
     """
     latest = df.groupBy(*_k(keys)).agg(F.max(loaded_at).alias("max_loaded_at"))
-    j = latest.join(F.broadcast(thresholds), on=series_col, how="inner")
+    j = latest.join(thresholds, on=series_col, how="inner")
     age = F.datediff(F.lit(as_of).cast("date"), F.col("max_loaded_at").cast("date"))
     status = F.when(age > F.col("error_days"), "error").when(age > F.col("warn_days"), "warn").otherwise("pass")
     return j.select(*_k(keys), "max_loaded_at", age.alias("age_days"), "warn_days", "error_days",
@@ -160,7 +161,8 @@ def staleness(df: DataFrame, expected: DataFrame, as_of: str, keys: Sequence[str
     latest = df.groupBy(*_k(keys)).agg(F.max(date).alias("latest_date"))
     j = expected.join(latest, on=list(keys), how="left")
     days = F.datediff(F.lit(as_of).cast("date"), F.col("latest_date"))
-    status = F.when(F.col("latest_date").isNull(), "no_data").when(days > F.col("window_days"), "stale").otherwise("fresh")
+    window = F.coalesce(F.col("window_days"), F.lit(DEFAULT_STALE_DAYS))
+    status = F.when(F.col("latest_date").isNull(), "no_data").when(days > window, "stale").otherwise("fresh")
     return j.select(*_k(keys), "latest_date", days.alias("days_old"), "window_days", status.alias("status"))
 
 

@@ -29,9 +29,10 @@ def parse_observations(payloads: DataFrame, payload_col: str = "payload", keys:
 
     Returns ``(parsed, quarantine)``.  ``"."`` or null value -> null value
     (or the row is dropped with ``drop_missing``); a value or date that does
-    not parse goes to the quarantine frame with a reason; a payload without
-    the ``observations`` key yields no rows.  The source record is kept as
-    JSON in ``raw_json``.
+    not parse goes to the quarantine frame with a reason, and so does a whole
+    payload that is no JSON (``bad_payload``, the text in ``raw_json``); a
+    payload without the ``observations`` key yields no rows.  The source
+    record is kept as JSON in ``raw_json``.
     """
     p = payloads.select(*[F.col(k) for k in keys],
                         F.from_json(F.col(payload_col), PAYLOAD_SCHEMA).alias("_p"))
@@ -51,12 +52,18 @@ def parse_observations(payloads: DataFrame, payload_col: str = "payload", keys:
         parsed = parsed.where(~F.col("_missing"))
     parsed = parsed.drop("_bad", "reason", "_missing")
     quarantine = base.where(F.col("_bad")).drop("_bad", "_missing")
-    return parsed, quarantine
+    text = F.col(payload_col)
+    broken = payloads.where(text.isNotNull() & F.get_json_object(text, "$").isNull()).select(
+        *[F.col(k) for k in keys], F.lit(None).cast("int").alias("pos"), F.lit(None).cast("date").alias("observation_date"),
+        F.lit(None).cast("double").alias("value"), text.alias("raw_json"), F.lit("bad_payload").alias("reason"))
+    return parsed, quarantine.unionByName(broken)
 
 
-def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> DataFrame:
     """Insert-or-update on ``keys``; the row with the highest ``seq`` wins (S3, ledger #22).
 
+    ``seq`` may name several columns; rows equal in all of them are ordered by
+    the whole row, so the result never depends on the order of the input.
     ``max_by(struct(row), seq)`` per key is an aggregate with partial
     aggregation, so duplicates collapse map-side and a key holding a third of
     all rows never lands whole in one task.  Applying the same batch twice
@@ -64,34 +71,52 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], se
     """
     src = updates if target is None else target.unionByName(updates, allowMissingColumns=True)
     rest = [c for c in src.columns if c not in keys]
+    order = [seq] if isinstance(seq, str) else list(seq)
+    row = F.struct(*[F.col(c) for c in rest])
     agg = src.groupBy(*[F.col(k) for k in keys]).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(seq)).alias("_r"))
+        F.max_by(row, F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], row.alias("_all"))).alias("_r"))
     return agg.select(*[F.col(k) for k in keys], *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds anything; any other trouble with the store raises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+
 def write_upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], seq: str,
-                 partition_col: str) -> DataFrame:
+                 partition_col: str, most_literals: int = 1000, files: int = 4) -> DataFrame:
     """Upsert into a parquet table partitioned by ``partition_col``, rewriting only touched partitions.
 
     Reads the current rows of the touched partitions, merges, and writes with
-    dynamic partition overwrite; untouched partitions stay as they are.
+    dynamic partition overwrite; untouched partitions stay as they are.  Only
+    a missing table is a first load: a table that can't be read raises.  Up to
+    ``most_literals`` touched values prune the scan as a literal filter, more
+    by a semi join.  A partition is written as ``files`` files at most.
     """
     from pyspark import StorageLevel
     from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     touched = updates.select(partition_col).distinct()
-    try:
+    current = None
+    if table_exists(spark, path):
         current = spark.read.parquet(path)
-        # only the partitions the batch touches are read and rewritten
-        current = current.join(touched, on=partition_col, how="left_semi")
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        current = None
-    merged = upsert(current, updates, keys, seq)
-    # the lineage of ``merged`` reads ``path``: cut it (reliable checkpoint in the
+        some = [r[0] for r in touched.limit(most_literals + 1).collect()]
+        if len(some) <= most_literals and None not in some:
+            current = current.where(F.col(partition_col).isin(some))
+        else:
+            current = current.join(touched, current[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
+    # the lineage of the merged rows reads ``path``: cut it (reliable checkpoint in the
     # shared folder) before overwriting the same partitions
-    ensure_checkpoint_dir(spark)
-    merged = merged.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    held = upsert(current, updates, keys, seq).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        merged = held.checkpoint(eager=True)
+        salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files))
+        (merged.repartition(F.col(partition_col), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+    finally:
+        held.unpersist()
     return spark.read.parquet(path)
 
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.observations import parse_observations, write_upsert
+from ..sources.observations import parse_observations, upsert, write_upsert
 
 PAYLOAD_FILE_SCHEMA = T.StructType([
     T.StructField("series_id", T.StringType()),
@@ -26,24 +26,36 @@ PAYLOAD_FILE_SCHEMA = T.StructType([
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, target_path: str,
-                 keys: Sequence[str] = ("series_id", "observation_date"), seq: str = "seq") -> None:
-    """Parse one batch of payload rows and upsert it (S1 + S3)."""
-    parsed, _quarantine = parse_observations(batch, "payload", keys=("series_id", seq))
-    if parsed.isEmpty():
-        return
-    write_upsert(spark, parsed.drop("pos"), target_path, keys, seq, partition_col="series_id")
+                 keys: Sequence[str] = ("series_id", "observation_date"), seq: str = "seq",
+                 quarantine_path: str | None = None, batch_id: int = 0) -> None:
+    """Parse one batch of payload rows, keep what is rejected, and upsert the rest (S1 + S3).
+
+    Rejected rows go to ``quarantine_path`` (default: beside the target) under
+    the batch's id, so a retried batch writes its own folder again.  Within a
+    batch the last observation by (seq, place in the payload) wins.
+    """
+    batch = batch.persist()
+    try:
+        parsed, rejected = parse_observations(batch, "payload", keys=("series_id", seq))
+        if not rejected.isEmpty():
+            path = quarantine_path or f"{target_path.rstrip('/')}_quarantine"
+            rejected.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if not parsed.isEmpty():
+            write_upsert(spark, upsert(None, parsed, keys, (seq, "pos")).drop("pos"), target_path, keys, seq, partition_col="series_id")
+    finally:
+        batch.unpersist()
 
 
 def load_stream(spark: SparkSession, source_dir: str, target_path: str, checkpoint_path: str,
                 keys: Sequence[str] = ("series_id", "observation_date"), seq: str = "seq",
-                max_files_per_trigger: int | None = None):
+                max_files_per_trigger: int | None = None, quarantine_path: str | None = None):
     """Process every payload file not yet seen, then stop (``availableNow``)."""
     reader = spark.readStream.schema(PAYLOAD_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
     q = (stream.writeStream
-         .foreachBatch(lambda df, epoch_id: upsert_batch(spark, df, target_path, keys, seq))
+         .foreachBatch(lambda df, epoch_id: upsert_batch(spark, df, target_path, keys, seq, quarantine_path, epoch_id))
          .option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True)
          .start())
