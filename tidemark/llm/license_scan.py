@@ -20,7 +20,8 @@ the result has a row per document and template, the best window's; rows that
 repeat an id are matched as one document; a null id is an id; templates of
 fewer words than a shingle have one shingle, the whole; extra columns never
 enter.  The template table is a parameter of bounded size: it is held by the
-driver and broadcast only as far as Spark's own size check allows.
+driver and broadcast up to ``most_broadcast`` band rows; beyond, Spark joins it as it
+sees fit.
 """
 
 from __future__ import annotations
@@ -60,6 +61,7 @@ class Scan:
     bands: int = 48
     threshold: float = 0.8
     least_class: int = 8
+    most_broadcast: int = 200_000   # band rows of the templates up to which their tables are broadcast
 
 
 def template_words(text: str) -> list[str]:
@@ -145,7 +147,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, s: Scan = Sca
     win = win.select("doc_id", "cls", "first", _shingles("words", s.shingle).alias("have"))
     cand = win.select("doc_id", "cls", "first", "have", F.posexplode(_minhash("have", s.bands)).alias("band", "value"))
     # one band that meets is enough. Shingles are joined to the few candidates only, by the template's name
-    cand = cand.join(bands, ["cls", "band", "value"]).join(table.select("license_id", "want"), "license_id")
+    want = table.select("license_id", "want")
+    if len(words) * s.bands <= s.most_broadcast:  # both tables follow the parameter, not the data
+        bands, want = F.broadcast(bands), F.broadcast(want)
+    cand = cand.join(bands, ["cls", "band", "value"]).join(want, "license_id")
     both = F.size(F.array_intersect("have", "want"))
     ok = cand.withColumn("matched", both).where(F.col("matched") >= F.lit(s.threshold) * F.size("want"))
     best = ok.groupBy("doc_id", "license_id").agg(
