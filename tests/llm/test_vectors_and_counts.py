@@ -34,6 +34,25 @@ def test_links_equal_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_pairs_meet_whatever_the_partitions(spark):
+    """Segments of one window: a single pass over one line of vectors finds the neighbours across every border, at any partition count."""
+    rng = np.random.default_rng(7)
+    turn = np.linspace(0, np.pi, 400)
+    rows = [(i, [float(np.cos(t)), float(np.sin(t))]) for i, t in enumerate(turn)]
+    rng.shuffle(rows)
+    d = spark.createDataFrame([(int(i), v) for i, v in rows], "vec_id long, embedding array<double>")
+    found = []
+    for n in ("1", "7", "64"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found.append(sorted((r.vec_id, r.n_links, r.component_id) for r in vd.link(d, vd.Passes(window=20, segment=2, passes=3)).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1] == found[2]
+    assert {c for _, _, c in found[0]} == {0}
+
+
 def test_vectors_odd_tables(spark):
     kind = "vec_id long, embedding array<float>"
     assert vd.link(spark.createDataFrame([], kind)).count() == 0

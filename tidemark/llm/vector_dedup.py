@@ -1,12 +1,15 @@
 """Embedding near-dedup (7): sorted projection passes.
 
-Every pass draws random hyperplanes, concatenates their signs to a code, sorts
-the vectors by the code (range-partitioned, then sorted within the task) and
-compares each vector with its next ``window`` neighbours in that order.  Where
-a whole window of a block still links, the comparison goes on with the next
-block until one links nothing, so large groups of near copies are not cut off
-at the window.  Cosines are computed in double precision from the whole
-vectors.  Equal vectors are compared once and counted with their number.
+Every pass draws random hyperplanes, concatenates their signs to a code and
+ranks the vectors by the code (a range sort of codes and hashes, without the
+vectors).  The order is dealt out in segments of fixed length by rank, each
+with the window that stands before it, so every vector meets its next
+``window`` neighbours whatever the number of partitions.  Where a whole window
+of a block still links, the comparison goes on with the next block of the
+segment until one links nothing, so groups of near copies up to a segment are
+not cut off at the window; larger ones are found over several passes.  Cosines
+are computed in double precision from the whole vectors.  Equal vectors are
+compared once and counted with their number.
 Passes are united: a pass adds the pairs that earlier ones did not find.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, drop, only, tune
 from .components import components
+from .order import prefix_sums
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,7 @@ class Passes:
     passes: int = 12
     bits: int = 32
     window: int = 512
+    segment: int = 16            # in windows: what one task holds in order at a time
     seed: int = 23
 
 
@@ -79,63 +84,79 @@ def _codes(p: Passes, k: int):
                 at = np.flatnonzero(dims == d)
                 sign = _unit([raw[i] for i in at], d) @ _planes(p, k, d) > 0
                 code[at] = sign @ (1 << np.arange(p.bits - 1, -1, -1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], names=["cls", "dim", "vec", "code"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code)], names=["h", "dim", "code"])
     return run
 
 
 def _neighbours(p: Passes):
-    """Pairs (a < b) of a sorted run of rows; holds the blocks that are still open."""
+    """Pairs (a < b) from rows (cls, dim, vec, rank, seg) sorted by segment and rank; holds the blocks that are still open."""
     def run(batches):
-        step = p.window
         blocks: list[tuple] = []     # (ids, units), kept while the next block may still link
 
-        def against(new):
-            """Compare a new block with itself and with the open blocks before it."""
-            ids, x = new
-            out = []
-            i, j = np.nonzero(np.triu(x @ x.T >= p.cosine, 1))
-            out.append((ids[i], ids[j]))
+        def against(ids, x, before):
+            """Compare a block with the open blocks before it and, unless it belongs to the segment before, with itself."""
+            i, j = np.nonzero(np.triu(x @ x.T >= p.cosine, 1)) if not before else (np.zeros(0, int),) * 2
+            out = [(ids[i], ids[j])]
             live = []
-            for n, (oids, ox, last) in enumerate(blocks):
+            for oids, ox in blocks:
                 i, j = np.nonzero(ox @ x.T >= p.cosine)
                 out.append((oids[i], ids[j]))
                 if len(i):
                     # rows without a link here are past their window, the others go on
                     on = np.unique(i)
-                    live.append((oids[on], ox[on], last))
-            blocks[:] = [*live, (ids, x, True)]
+                    live.append((oids[on], ox[on]))
+            blocks[:] = [*live, (ids, x)]
             a, b = (np.concatenate(c) for c in zip(*out, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-        held_ids, held_raw, dim = [], [], None
+        held_ids, held_raw, at, run_of = [], [], None, None
+
+        def flush():
+            nonlocal run_of
+            seg, block, dim = at
+            if (seg, dim) != run_of:
+                blocks.clear()
+                run_of = (seg, dim)
+            return against(np.array(held_ids), _unit(held_raw, dim), block < seg * p.segment)
+
         for batch in batches:
-            for cid, d, raw in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                if d != dim:
+            for cid, dim, raw, rank, seg in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                key = (seg, rank // p.window, dim)
+                if key != at:
                     if held_ids:
-                        yield against((np.array(held_ids), _unit(held_raw, dim)))
-                    held_ids, held_raw, dim = [], [], d
-                    blocks.clear()
+                        yield flush()
+                    held_ids, held_raw, at = [], [], key
                 held_ids.append(cid)
                 held_raw.append(raw)
-                if len(held_ids) == step:
-                    yield against((np.array(held_ids), _unit(held_raw, dim)))
-                    held_ids, held_raw = [], []
         if held_ids:
-            yield against((np.array(held_ids), _unit(held_raw, dim)))
+            yield flush()
     return run
 
 
-def found_pairs(classes: DataFrame, p: Passes) -> DataFrame:
-    """(a, b), a < b: pairs of classes (cls, dim, vec) that a pass finds and double precision confirms."""
+def _segments(one: DataFrame, p: Passes, k: int) -> tuple[DataFrame, DataFrame]:
+    """(rows cls, dim, vec, rank, seg of pass k; the written table of ranks): a row also stands before the segment it borders."""
+    coded = one.select("h", "dim", "vec").mapInArrow(_codes(p, k), "h binary, dim int, code long")
+    coded = coded.withColumn("g", F.lit(0)).withColumn("one", F.lit(1).cast("long"))
+    ranks = prefix_sums(coded, "g", [F.col("dim"), F.col("code"), F.col("h")], "one", "vd-rank")
+    block = F.floor(F.col("rank") / F.lit(p.window)).cast("long")
+    seg = F.floor(block / F.lit(p.segment)).cast("long")
+    last = block % p.segment == p.segment - 1
+    of = F.explode(F.when(last, F.array(seg, seg + 1)).otherwise(F.array(seg)))
+    rows = one.join(ranks.select("h", F.col("before").alias("rank")), "h")
+    return rows.select("cls", "dim", "vec", "rank", of.alias("seg")), ranks
+
+
+def found_pairs(one: DataFrame, p: Passes) -> DataFrame:
+    """(a, b), a < b: pairs of classes (h, cls, dim, vec) that a pass finds and double precision confirms."""
     pairs = None
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for k in range(p.passes):
-        coded = classes.mapInArrow(_codes(p, k), "cls long, dim int, vec binary, code long")
-        line = coded.repartitionByRange(parts, "dim", "code", "cls").sortWithinPartitions("dim", "code", "cls")
-        new = line.mapInArrow(_neighbours(p), "a long, b long")
+        rows, ranks = _segments(one, p, k)
+        new = rows.repartition(parts, "seg").sortWithinPartitions("seg", "rank").mapInArrow(_neighbours(p), "a long, b long")
         if pairs is not None:
             new = new.join(pairs, ["a", "b"], "left_anti")
         new = cut(new, "vd-pass")
+        drop(ranks)
         pairs = new if pairs is None else pairs.unionByName(new)
     return pairs
 
@@ -144,12 +165,14 @@ def link(vectors: DataFrame, p: Passes = Passes(), id_col: str = "vec_id", vecto
     """vec_id, n_links, component_id, kept per row."""
     tune(vectors.sparkSession)
     v = only(vectors, **{"vec_id": id_col, "v": vector}).withColumn("vec_id", F.col("vec_id").cast("long"))
-    all_ = v.select("vec_id", F.col("v").cast("array<double>").alias("v")).mapInArrow(_normal(), "vec_id long, dim int, vec binary")
-    all_ = cut(all_.withColumn("h", F.sha2("vec", 256)), "vd-vectors")
+    full = v.select("vec_id", F.col("v").cast("array<double>").alias("v")).mapInArrow(_normal(), "vec_id long, dim int, vec binary")
+    full = full.withColumn("h", F.unhex(F.sha2("vec", 256)))
+    # written without the vectors, which stand once per class in ``one``
+    all_ = cut(full.select("vec_id", "dim", "h"), "vd-rows")
     # a class is all rows of one vector; its name is its least id
     some = all_.where("dim > 0")
     per = cut(some.groupBy("h").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("members")).where("cls is not null"), "vd-classes")
-    one = cut(some.join(per, "h").where("vec_id = cls").select("cls", "dim", "vec").distinct(), "vd-one")
+    one = cut(full.where("dim > 0").join(per, "h").where("vec_id = cls").select("h", "cls", "dim", "vec").dropDuplicates(["h"]), "vd-one")
     pairs = found_pairs(one, p)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = per.groupBy("cls").agg(F.sum("members").alias("members"))
