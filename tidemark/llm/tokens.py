@@ -13,10 +13,14 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MOST = 1_300_000
 #: what str.split() takes for white space and Unicode does not
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: white space at an end or beside white space: such a text can't be cut at every space and line break
+_ODD = re.compile(r"\s(?:\s|\Z)")
 _OPEN: dict[tuple, "Encoder"] = {}
 
 
@@ -99,8 +103,41 @@ class Encoder:
             for part, e in zip(some, self.t.encode_batch_fast([self._text(x) for x in some], add_special_tokens=False), strict=True):
                 self.cache[part] = np.array(e.ids, self.dtype).tobytes()
 
+    def _known(self, keys: list[str]) -> list[bytes]:
+        """Ids of distinct parts, as bytes."""
+        if len(self.cache) > MOST:
+            self.cache.clear()
+        got = list(map(self.cache.get, keys))
+        if None in got:
+            self._learn([x for x, y in zip(keys, got, strict=True) if y is None])
+            get = self.cache.__getitem__
+            got = [get(x) if y is None else y for x, y in zip(keys, got, strict=True)]
+        return got
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Byte-level ids of texts without odd white space: split and counted by Arrow, so only distinct parts are looked up."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        word, ends = split.flatten().dictionary_encode(), np.asarray(split.offsets)
+        got = self._known(word.dictionary.to_pylist())
+        _, bound, ids = pa.array(got, pa.large_binary()).take(word.indices).buffers()
+        bound, ids = np.frombuffer(bound, np.int64) // self.dtype.itemsize, np.frombuffer(ids, self.dtype)
+        # a text's first part stands behind no space
+        heads = [np.array(self._ids(x), self.dtype) for x in split.flatten().take(pa.array(ends[:-1])).to_pylist()]
+        return [np.concatenate([h, ids[a:b]]) for h, a, b in zip(heads, bound[ends[:-1] + 1], bound[ends[1:]], strict=True)]
+
     def encode(self, texts: list) -> list[np.ndarray]:
         """Ids of each text (null: none)."""
+        if not self.glue:
+            return self._encode(texts)
+        plain = [i for i, t in enumerate(texts) if t and not t[0].isspace() and not _ODD.search(t)]
+        rest = sorted(set(range(len(texts))) - set(plain))
+        out: list = [None] * len(texts)
+        for at, ids in ((plain, self._plain([texts[i] for i in plain]) if plain else []), (rest, self._encode([texts[i] for i in rest]))):
+            for i, x in zip(at, ids, strict=True):
+                out[i] = x
+        return out
+
+    def _encode(self, texts: list) -> list[np.ndarray]:
         out = []
         for a in range(0, len(texts), 256):
             split = [self.parts(t) if t else [] for t in texts[a:a + 256]]
