@@ -4,7 +4,7 @@ Each document's set is its distinct word shingles.  Documents with equal sets
 form a class, and one member stands for it.  Independent trees branch the
 classes by minwise tokens (level 1: one token per tree).  A node of at most
 ``small`` classes is compared exhaustively; a larger one first links its
-members to a pivot, and in further rounds to fresh pivots those that are not
+members to a pivot, then to ``stars`` fresh pivots those that are not
 connected yet, and then branches again by two more tokens per level until it is
 small, or all of its members are connected anyway.  What is still large
 at the last level is compared in full, minority against node, so no node is
@@ -45,7 +45,7 @@ class ChosenPath:
     deep: int = 16            # further tokens that deeper levels choose from
     sketch: int = 128         # minwise bytes of the estimate
     margin: float = 4.5       # standard deviations below the threshold that an estimate may lie
-    stars: int = 3            # rounds of stars from fresh pivots in large nodes that hold several components
+    stars: int = 3            # stars from fresh pivots in large nodes that hold several components
     small: int = 8            # classes in a node that is compared exhaustively
     depth: int = 3            # levels; what is large below is compared in full
 
@@ -189,17 +189,19 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     d = only(docs, **{"doc_id": id_col, "text": text}).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = cut(d.mapInArrow(_signatures(p), "doc_id long, n_shingles long, fp binary, path binary, sketch binary"), "nd-signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(filled.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nd-classes")
-    # one row stands for each class; rows that repeat an id and text give the same row twice
-    stand = cut(filled.join(classes, "fp").where("doc_id = rep").select("rep", "path", "sketch").distinct(), "nd-stand")
-
-    # level 1: a node per tree and token value
-    rows = stand.select("rep", F.posexplode(F.array(*[F.xxhash64(F.lit(t), token("path", t)) for t in range(p.trees)]))
-                        .alias("tree", "node")).select("node", "rep")
-    per = cut(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("pivot")).where("size > 1"), "nd-per")
-    nodes = cut(rows.join(per, "node"), "nd-nodes")
-    stars = nodes.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    star = cut(_attach(stars, stand, "sketch").mapInArrow(_alike(p.least_equal), "a long, b long"), "nd-star")
+    # one row stands for each class: that of its least id
+    stand = cut(filled.groupBy("fp").agg(F.min(F.struct("doc_id", "path", "sketch")).alias("s"))
+                .select("fp", F.col("s.doc_id").alias("rep"), "s.path", "s.sketch"), "nd-stand")
+    alike = _alike(p.least_equal)
+
+    # level 1: a node per tree and token value; rows carry their sketches, so that stars need no further join
+    rows = stand.select("rep", "sketch", F.posexplode(F.array(*[F.xxhash64(F.lit(t), token("path", t)) for t in range(p.trees)]))
+                        .alias("tree", "node")).select("node", "rep", "sketch")
+    per = cut(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "sketch")).alias("pivot")).where("size > 1"), "nd-per")
+    nodes = cut(rows.join(per.select("node"), "node"), "nd-nodes")
+    star = cut(nodes.join(per, "node").where("rep != pivot.rep")
+               .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.sketch").alias("va"), F.col("sketch").alias("vb"))
+               .mapInArrow(alike, "a long, b long").distinct(), "nd-star")
     # texts of every class that shares a node with another one: read and shuffled once
     some = nodes.select("rep").distinct()
     sets = cut(d.join(some, d.doc_id == some.rep).select("rep", "text")
@@ -207,31 +209,29 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     linked = _confirmed(star, sets, p, "nd-links")
     label = components(linked)
 
-    # large nodes of several components: stars from fresh pivots, so that dense groups grow together
-    # by a few links a member before anything is compared in full
     def open_rows(label):
         named = label.select(F.col("node").alias("rep"), "component")
-        rows = nodes.select("node", "rep").join(named, "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("comp"))
+        rows = nodes.join(named, "rep", "left").select("node", "rep", "sketch", F.coalesce("component", "rep").alias("comp"))
         return _open_nodes(rows, "nd-open")
     rows = open_rows(label)
-    for k in range(p.stars):
-        large = rows.where(F.col("size") > p.small)
-        fresh = cut(large.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "rep", F.lit(k)).alias("h"), "rep", "comp")).alias("p"))
-                    .select("node", F.col("p.rep").alias("x"), F.col("p.comp").alias("cx")), "nd-fresh")
-        pairs = large.join(fresh, "node").where("comp != cx and rep != x").select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-        pairs = cut(_attach(pairs, stand, "sketch").mapInArrow(_alike(p.least_equal), "a long, b long"), "nd-star")
-        new = _confirmed(pairs, sets, p, "nd-links")
-        if new.isEmpty():
-            break
-        old = label
+    # large nodes of several components: stars from fresh pivots, so that dense groups grow together
+    # by a few links a member before anything is compared in full
+    large = rows.where(F.col("size") > p.small)
+    picks = [F.min(F.struct(F.xxhash64("node", "rep", F.lit(k)).alias("h"), "rep", "comp", "sketch")) for k in range(p.stars)]
+    fresh = cut(large.groupBy("node").agg(F.array(*picks).alias("p")).select("node", F.explode("p").alias("p")), "nd-fresh")
+    fresh_pairs = (large.join(fresh, "node").where("comp != p.comp and rep != p.rep")
+                   .select(F.least("p.rep", "rep").alias("a"), F.greatest("p.rep", "rep").alias("b"), F.col("p.sketch").alias("va"), F.col("sketch").alias("vb")))
+    second = cut(fresh_pairs.mapInArrow(alike, "a long, b long").distinct(), "nd-star")
+    new = _confirmed(second, sets, p, "nd-links")
+    if not new.isEmpty():
+        old, before = label, rows
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
         rows = open_rows(label)
-        drop(fresh, pairs, new, old)
+        drop(old, before)
+    drop(fresh, second, new)
     # the rest: branched until small
-    rows = rows.join(stand, "rep")
     found, made = [], []
     for level in range(1, p.depth + 1):
-        rows = cut(rows, "nd-level")
         made.append(rows)
         found.append(rows.where(F.col("size") <= p.small)
                      .groupBy("node").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("members"))
@@ -249,6 +249,8 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
         branch = lambda j: F.xxhash64("node", F.lit(level), F.lit(j), F.element_at(
             F.array(*[token("path", p.trees + i) for i in range(p.deep)]),
             (F.pmod(F.xxhash64("node", F.lit(j)), F.lit(p.deep // 2)) + 1 + j * (p.deep // 2)).cast("int")))  # noqa: B023
+        if level == 1:
+            large = large.join(stand.select("rep", "path"), "rep")
         child = large.select("rep", "comp", "path", "sketch", F.explode(F.array(branch(0), branch(1))).alias("node"))
         rows = _open_nodes(child, "nd-open")
     pairs = found[0]
@@ -258,11 +260,11 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(edges)
 
-    member = (signed.select("doc_id", "n_shingles", "fp").join(classes, "fp", "left")
+    member = (signed.select("doc_id", "n_shingles", "fp").join(stand.select("fp", "rep"), "fp", "left")
               .join(final.select(F.col("node").alias("rep"), "component"), "rep", "left"))
     cid = F.coalesce("component", "rep", "doc_id")
     out = cut(member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), cid).alias("component_id")), "nd-result")
-    drop(signed, classes, stand, per, nodes, star, sets, linked, label, more, final, *made)
+    drop(signed, stand, per, nodes, star, sets, linked, label, more, final, *made)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
