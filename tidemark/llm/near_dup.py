@@ -47,6 +47,8 @@ class ChosenPath:
     margin: float = 4.5       # standard deviations below the threshold that an estimate may lie
     stars: int = 3            # stars from fresh pivots in large nodes that hold several components
     small: int = 8            # classes in a node that is compared exhaustively
+    cell: int = 48            # members on each side of a cell in which many pairs are confirmed
+    block: int = 512          # members on each side of a block of a node that is compared in full
     depth: int = 3            # levels; what is large below is compared in full
 
     @property
@@ -150,6 +152,27 @@ def _exhaustive(least: int):
     return run
 
 
+def _across(least: int):
+    """Blocks of a large node (two lists of rep, comp, sketch): pairs across them of unconnected members that look alike."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                sides = [batch.column(c)[i].values for c in (0, 1)]
+                if not all(len(x) for x in sides):
+                    continue
+                (ra, ca), (rb, cb) = ((np.asarray(x.field(0)), np.asarray(x.field(1))) for x in sides)
+                ta, tb_ = (np.frombuffer(b"".join(x.field(2).to_pylist()), np.uint8).reshape(len(x), -1).T.copy() for x in sides)
+                same = np.zeros((len(ra), len(rb)), np.uint8 if len(ta) < 256 else np.uint16)
+                for x, y in zip(ta, tb_, strict=True):  # byte by byte: the counts stay in the processor's cache
+                    same += x[:, None] == y[None, :]
+                j, k = np.nonzero((same >= least) & (ca[:, None] != cb[None, :]) & (ra[:, None] != rb[None, :]))
+                out.append(np.stack([np.minimum(ra[j], rb[k]), np.maximum(ra[j], rb[k])]))
+            x, y = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+    return run
+
+
 def _confirm(pct: int):
     def run(batches):
         for batch in batches:
@@ -172,6 +195,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: ChosenPath, name: str) -> D
     return cut(_attach(pairs, sets, "shingles").mapInArrow(_confirm(p.threshold_pct), "a long, b long"), name)
 
 
+def _confirm_cells(pct: int):
+    """Cells (sets of members, pairs among them): the pairs that are links."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                members, pairs = batch.column(0)[i].values, batch.column(1)[i].values
+                rep = np.asarray(members.field(0))
+                order = np.argsort(rep)
+                data = members.field(1)
+                sets = [np.frombuffer(data[int(k)].as_buffer(), U) for k in order]
+                x, y = (np.asarray(pairs.field(k)) for k in (0, 1))
+                for a, b, j, k in zip(x.tolist(), y.tolist(), np.searchsorted(rep[order], x).tolist(), np.searchsorted(rep[order], y).tolist(), strict=True):
+                    n = len(sets[j]) + len(sets[k])
+                    if 100 * min(len(sets[j]), len(sets[k])) < pct * max(len(sets[j]), len(sets[k])):
+                        continue
+                    both = n - len(np.unique(np.concatenate([sets[j], sets[k]])))
+                    if 100 * both >= pct * (n - both):
+                        out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return run
+
+
+def _confirmed_dense(pairs: DataFrame, sets: DataFrame, p: ChosenPath, name: str) -> DataFrame:
+    """As :func:`_confirmed`, where many pairs lie within the same few members.
+
+    Pairs are dealt to cells: ``b`` goes with the least ``a`` it is paired
+    with, and both sides of such a home are hashed into blocks of about
+    ``cell`` members.  A set is shipped once per cell, not once per pair.
+    """
+    home = cut(pairs.groupBy("b").agg(F.min("a").alias("home")), f"{name}-home")
+    homed = cut(pairs.join(home, "b"), f"{name}-homed")
+    wide = lambda c: F.ceil(F.approx_count_distinct(c) / F.lit(p.cell)).alias(f"n{c}")  # noqa: E731  (only sizes the blocks)
+    sizes = homed.groupBy("home").agg(wide("a"), wide("b"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.col(f"n{c}")))
+    dealt = cut(homed.join(sizes, "home").select("a", "b", F.xxhash64("home", block("a"), block("b")).alias("cell")), f"{name}-dealt")
+    members = dealt.select("cell", F.explode(F.array("a", "b")).alias("rep")).distinct().join(sets.dropDuplicates(["rep"]), "rep")
+    rows = members.select("cell", F.struct("rep", "shingles").alias("m"), F.lit(None).cast("struct<a:bigint,b:bigint>").alias("p")).unionByName(
+        dealt.select("cell", F.lit(None).cast("struct<rep:bigint,shingles:binary>").alias("m"), F.struct("a", "b").alias("p")))
+    cells = rows.groupBy("cell").agg(F.collect_list("m").alias("m"), F.collect_list("p").alias("p")).select("m", "p")
+    out = cut(cells.mapInArrow(_confirm_cells(p.threshold_pct), "a long, b long"), name)
+    drop(home, homed, dealt)
+    return out
+
+
 def _open_nodes(rows: DataFrame, name: str) -> DataFrame:
     """Rows of nodes that hold two components or more, with the node's size and pivot component."""
     per = cut(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -240,11 +308,16 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
         if large.isEmpty():
             break
         if level == p.depth:
-            # exhaustive: whoever is not in the node's main component, against the whole node
-            q = large.where("comp != main").select("node", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("sketch").alias("sx"))
-            found.append(q.join(large.select("node", "rep", "comp", "sketch"), "node").where("cx != comp and x != rep")
-                         .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"), "sx", "sketch")
-                         .mapInArrow(_alike(p.least_equal), "a long, b long"))
+            # exhaustive: whoever is not in the node's main component, against the whole node, block by block
+            width = F.ceil(F.col("size") / F.lit(p.block)).cast("int")
+            own = F.pmod(F.xxhash64("rep"), width).cast("int")
+            every = F.sequence(F.lit(0), width - 1)
+            member = F.struct("rep", "comp", "sketch")
+            none = F.lit(None).cast("struct<rep:bigint,comp:bigint,sketch:binary>")
+            q = large.where("comp != main").select("node", own.alias("i"), F.explode(every).alias("j"), member.alias("x"), none.alias("y"))
+            whole = large.select("node", F.explode(every).alias("i"), own.alias("j"), none.alias("x"), member.alias("y"))
+            found.append(q.unionByName(whole).groupBy("node", "i", "j").agg(F.collect_list("x").alias("x"), F.collect_list("y").alias("y"))
+                         .select("x", "y").mapInArrow(_across(p.least_equal), "a long, b long"))
             break
         branch = lambda j: F.xxhash64("node", F.lit(level), F.lit(j), F.element_at(
             F.array(*[token("path", p.trees + i) for i in range(p.deep)]),
@@ -256,7 +329,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
-    more = _confirmed(cut(pairs.distinct(), "nd-pairs"), sets, p, "nd-links")
+    more = _confirmed_dense(cut(pairs.distinct(), "nd-pairs"), sets, p, "nd-links")
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = components(edges)
 
