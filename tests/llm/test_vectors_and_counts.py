@@ -34,6 +34,20 @@ def test_links_equal_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_no_group_is_cut_at_a_segment(spark):
+    """A tight group of many segments, far beyond window and segment, beside other vectors: every link of it counts, also where rounds go on."""
+    rng = np.random.default_rng(11)
+    c = rng.standard_normal(16)
+    rows = [c + rng.standard_normal(16) * 0.003 for _ in range(900)] + [rng.standard_normal(16) for _ in range(300)]
+    d = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    x = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    links = (x @ x.T >= 0.9).sum(axis=1) - 1
+    got = {r.vec_id: r for r in vd.link(d, vd.Passes(window=16, segment=2, passes=4)).collect()}
+    assert all(got[i].n_links == links[i] for i in range(900))
+    assert {got[i].component_id for i in range(900)} == {0}
+    assert all(got[i].n_links <= links[i] for i in range(900, 1200))
+
+
 def test_pairs_meet_whatever_the_partitions(spark):
     """Segments of one window: a single pass over one line of vectors finds the neighbours across every border, at any partition count."""
     rng = np.random.default_rng(7)

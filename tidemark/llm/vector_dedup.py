@@ -2,15 +2,20 @@
 
 Every pass draws random hyperplanes, concatenates their signs to a code and
 ranks the vectors by the code (a range sort of codes and hashes, without the
-vectors).  The order is dealt out in segments of fixed length by rank, each
-with the window that stands before it, so every vector meets its next
-``window`` neighbours whatever the number of partitions.  Where a whole window
-of a block still links, the comparison goes on with the next block of the
-segment until one links nothing, so groups of near copies up to a segment are
-not cut off at the window; larger ones are found over several passes.  Cosines
+vectors; equal codes stand in an order of their own in every pass).  The order
+is dealt out in segments of fixed length by rank, each with the window that
+stands before it, so every vector meets its next ``window`` neighbours
+whatever the number of partitions.  A vector that links within a whole block
+goes on to the next block until one holds no link of it.  Vectors that still
+link where their segment ends go on in rounds: cells (segment, later segment)
+are dealt to tasks, a cell holds at most two segments, and every round reaches
+twice as far as the last one, so no size of a group cuts its links.  Cosines
 are computed in double precision from the whole vectors.  Equal vectors are
 compared once and counted with their number.
-Passes are united: a pass adds the pairs that earlier ones did not find.
+
+No pair is ever written.  A vector keeps its block and the last block it was
+compared with for every pass, which tells whether an earlier pass compared two
+vectors; a pass counts the links that are new and keeps edges that span them.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different length are never compared;
@@ -88,77 +93,175 @@ def _codes(p: Passes, k: int):
     return run
 
 
-def _neighbours(p: Passes):
-    """Pairs (a < b) from rows (cls, dim, vec, rank, seg) sorted by segment and rank; holds the blocks that are still open."""
+#: rows of a pass: new links and the last block compared of a vector (where it ends still open: the last segment), or an edge
+FOUND = "h binary, n long, reach int, open long, a long, b long"
+
+
+def _unite(lab: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Unite pairs in ``lab``, which names the least row of every row's group."""
+    a, b = lab[i], lab[j]
+    while True:
+        lo, hi = np.minimum(lab[a], lab[b]), np.maximum(lab[a], lab[b])
+        on = lo != hi
+        if not on.any():
+            return
+        a, b = a[on], b[on]
+        np.minimum.at(lab, hi[on], lo[on])
+        while True:
+            up = lab[lab]
+            if (up == lab).all():
+                break
+            lab[:] = up
+
+
+class _Rows:
+    """Rows that a task compares: links that no earlier pass compared are counted and united."""
+
+    def __init__(self, rows: list[tuple]):
+        self.h, cls, members, dim, raw, seen, rank = (list(c) for c in zip(*rows, strict=True))
+        self.cls, self.members, self.dim = np.array(cls, np.int64), np.array(members, np.float64), np.array(dim)
+        self.rank, self.raw = np.array(rank, np.int64), raw
+        self.seen = np.array([np.asarray(x, np.int32) for x in seen], np.int32).reshape(len(rows), -1)
+        self.n, self.lab = np.zeros(len(rows), np.int64), np.arange(len(rows))
+
+    def units(self, at: np.ndarray) -> np.ndarray:
+        return _unit([self.raw[i] for i in at], int(self.dim[at[0]]))
+
+    def new(self, i: np.ndarray, j: np.ndarray) -> None:
+        for k in range(0, self.seen.shape[1], 2):
+            bi, bj = self.seen[i, k], self.seen[j, k]
+            on = np.where(bi <= bj, bj > self.seen[i, k + 1], bi > self.seen[j, k + 1])
+            i, j = i[on], j[on]
+        if len(i):
+            self.n += np.bincount(i, self.members[j], len(self.n)).astype(np.int64) + np.bincount(j, self.members[i], len(self.n)).astype(np.int64)
+            _unite(self.lab, i, j)
+
+    def found(self, reach: np.ndarray, open_: np.ndarray, to: int):
+        """A row per vector (reach below 0: none) and the edges, in batches."""
+        e = np.flatnonzero(self.cls != self.cls[self.lab])
+        n, m = len(self.h), len(e)
+        yield pa.RecordBatch.from_arrays([pa.array(self.h, pa.binary()), pa.array(self.n), pa.array(reach.astype(np.int32), mask=reach < 0),
+                                          pa.array(np.full(n, to), mask=~open_), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=["h", "n", "reach", "open", "a", "b"])
+        if m:
+            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()),
+                                              pa.array(self.cls[e]), pa.array(self.cls[self.lab[e]])], names=["h", "n", "reach", "open", "a", "b"])
+
+
+def _groups(batches, keys: int):
+    """(key, rows) of consecutive rows whose first columns are the key."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:keys] != at:
+                if held:
+                    yield at, held
+                at, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield at, held
+
+
+def _linked(p: Passes, g: _Rows, left: np.ndarray, x: np.ndarray, right: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of ``left`` link with any of ``right``; their pairs go to ``g``."""
+    out = np.zeros(len(left), bool)
+    for c in range(0, len(left), 4 * p.window):
+        i, j = np.nonzero(x[c:c + 4 * p.window] @ y.T >= p.cosine)
+        out[c + i] = True
+        g.new(left[c + i], right[j])
+    return out
+
+
+def _within(p: Passes, last: int):
+    """FOUND of segments, from rows (seg, h, cls, members, dim, vec, seen, rank) sorted by segment and rank."""
     def run(batches):
-        blocks: list[tuple] = []     # (ids, units), kept while the next block may still link
-
-        def against(ids, x, before):
-            """Compare a block with the open blocks before it and, unless it belongs to the segment before, with itself."""
-            i, j = np.nonzero(np.triu(x @ x.T >= p.cosine, 1)) if not before else (np.zeros(0, int),) * 2
-            out = [(ids[i], ids[j])]
-            live = []
-            for oids, ox in blocks:
-                i, j = np.nonzero(ox @ x.T >= p.cosine)
-                out.append((oids[i], ids[j]))
-                if len(i):
-                    # rows without a link here are past their window, the others go on
-                    on = np.unique(i)
-                    live.append((oids[on], ox[on]))
-            blocks[:] = [*live, (ids, x)]
-            a, b = (np.concatenate(c) for c in zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        held_ids, held_raw, at, run_of = [], [], None, None
-
-        def flush():
-            nonlocal run_of
-            seg, block, dim = at
-            if (seg, dim) != run_of:
-                blocks.clear()
-                run_of = (seg, dim)
-            return against(np.array(held_ids), _unit(held_raw, dim), block < seg * p.segment)
+        for (seg,), rows in _groups(batches, 1):
+            g = _Rows(rows)
+            block = g.rank // p.window
+            own = block >= seg * p.segment
+            reach, open_ = np.where(own, block, -1), np.zeros(len(rows), bool)
+            for d in np.unique(g.dim):
+                live, x = np.zeros(0, np.int64), np.zeros((0, d))
+                for k in np.unique(block[g.dim == d]):
+                    at = np.flatnonzero((g.dim == d) & (block == k))
+                    y = g.units(at)
+                    if own[at[0]]:
+                        i, j = np.nonzero(np.triu(y @ y.T >= p.cosine, 1))
+                        g.new(at[i], at[j])
+                        reach[live] = k
+                        # rows without a link here are past their window, the others go on
+                        on = _linked(p, g, live, x, at, y)
+                        live, x = live[on], x[on]
+                    old = len(live)
+                    live, x = np.concatenate([live, at]), np.concatenate([x, y])
+                open_[live[:old]] = seg < last
+            yield from g.found(reach, open_, seg)
+    return run
 
-        for batch in batches:
-            for cid, dim, raw, rank, seg in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                key = (seg, rank // p.window, dim)
-                if key != at:
-                    if held_ids:
-                        yield flush()
-                    held_ids, held_raw, at = [], [], key
-                held_ids.append(cid)
-                held_raw.append(raw)
-        if held_ids:
-            yield flush()
+
+def _cells(p: Passes, last: int, step: int):
+    """FOUND of cells, from rows (o, t, side, h, cls, members, dim, vec, seen, rank) sorted by cell: open rows of o against segment t."""
+    def run(batches):
+        for (o, _), rows in _groups(batches, 2):
+            g = _Rows([r[1:] for r in rows])
+            open_side = np.array([r[0] for r in rows]) == 0
+            to = min(o + step, last)
+            reach, open_ = np.where(open_side, (to + 1) * p.segment - 1, -1), np.zeros(len(rows), bool)
+            for d in np.unique(g.dim):
+                left = np.flatnonzero(open_side & (g.dim == d))
+                right = np.flatnonzero(~open_side & (g.dim == d))
+                if len(left) and len(right):
+                    x = g.units(left)
+                    for c in range(0, len(right), p.window):
+                        at = right[c:c + p.window]
+                        open_[left] |= _linked(p, g, left, x, at, g.units(at))
+            yield from g.found(reach, open_ & (to < last), to)
     return run
 
 
-def _segments(one: DataFrame, p: Passes, k: int) -> tuple[DataFrame, DataFrame]:
-    """(rows cls, dim, vec, rank, seg of pass k; the written table of ranks): a row also stands before the segment it borders."""
+def _ranked(one: DataFrame, p: Passes, k: int) -> DataFrame:
+    """(h, rank) of pass k, a written table."""
     coded = one.select("h", "dim", "vec").mapInArrow(_codes(p, k), "h binary, dim int, code long")
-    coded = coded.withColumn("g", F.lit(0)).withColumn("one", F.lit(1).cast("long"))
-    ranks = prefix_sums(coded, "g", [F.col("dim"), F.col("code"), F.col("h")], "one", "vd-rank")
-    block = F.floor(F.col("rank") / F.lit(p.window)).cast("long")
-    seg = F.floor(block / F.lit(p.segment)).cast("long")
-    last = block % p.segment == p.segment - 1
-    of = F.explode(F.when(last, F.array(seg, seg + 1)).otherwise(F.array(seg)))
-    rows = one.join(ranks.select("h", F.col("before").alias("rank")), "h")
-    return rows.select("cls", "dim", "vec", "rank", of.alias("seg")), ranks
-
-
-def found_pairs(one: DataFrame, p: Passes) -> DataFrame:
-    """(a, b), a < b: pairs of classes (h, cls, dim, vec) that a pass finds and double precision confirms."""
-    pairs = None
+    coded = coded.withColumn("g", F.lit(0)).withColumn("one", F.lit(1).cast("long")).withColumn("salt", F.xxhash64(F.lit(k), "h"))
+    return prefix_sums(coded, "g", [F.col("dim"), F.col("code"), F.col("salt"), F.col("h")], "one", "vd-rank")
+
+
+def found_links(one: DataFrame, p: Passes) -> tuple[DataFrame, DataFrame]:
+    """Of classes (h, cls, members, dim, vec): (h, n: members of the classes it links with), (a, b): edges that span the links."""
     parts = int(one.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = one.count()
+    last = max(total - 1, 0) // (p.window * p.segment)
+    state = cut(one.select("h", F.lit(0).cast("long").alias("n"), F.array().cast("array<int>").alias("seen")), "vd-state")
+    edges = None
+    cols = ["h", "cls", "members", "dim", "vec", "seen", "rank"]
     for k in range(p.passes):
-        rows, ranks = _segments(one, p, k)
-        new = rows.repartition(parts, "seg").sortWithinPartitions("seg", "rank").mapInArrow(_neighbours(p), "a long, b long")
-        if pairs is not None:
-            new = new.join(pairs, ["a", "b"], "left_anti")
-        new = cut(new, "vd-pass")
-        drop(ranks)
-        pairs = new if pairs is None else pairs.unionByName(new)
-    return pairs
+        ranks = _ranked(one, p, k)
+        rank = ranks.select("h", F.col("before").alias("rank"))
+        rows = one.join(rank.join(state.select("h", "seen"), "h"), "h")
+        block = F.floor(F.col("rank") / F.lit(p.window)).cast("long")
+        seg = F.floor(block / F.lit(p.segment)).cast("long")
+        # a row also stands before the segment it borders
+        of = F.explode(F.when(block % p.segment == p.segment - 1, F.array(seg, seg + 1)).otherwise(F.array(seg)))
+        dealt = rows.select(of.alias("seg"), *cols)
+        found = [cut(dealt.repartition(parts, "seg").sortWithinPartitions("seg", "rank").mapInArrow(_within(p, last), FOUND), "vd-pass")]
+        step = 1
+        while last and not (still := found[-1].where("open is not null").groupBy("h").agg(F.max("open").alias("o"))).isEmpty():
+            to = still.select("h", "o", F.explode(F.sequence(F.col("o") + 1, F.least(F.col("o") + step, F.lit(last).cast("long")))).alias("t"))
+            left = rows.join(to, "h").select("o", "t", F.lit(0).alias("side"), *cols)
+            right = rows.withColumn("t", seg).join(to.select("o", "t").distinct(), "t").select("o", "t", F.lit(1).alias("side"), *cols)
+            cells = left.unionByName(right).repartition(parts, "o", "t").sortWithinPartitions("o", "t", "side", "rank")
+            found.append(cut(cells.mapInArrow(_cells(p, last, step), FOUND), "vd-round"))
+            step *= 2
+        all_ = found[0]
+        for f in found[1:]:
+            all_ = all_.unionByName(f)
+        some = cut(all_.where("a is not null").select("a", "b"), "vd-edges")
+        edges = some if edges is None else edges.unionByName(some)
+        per = all_.where("h is not null").groupBy("h").agg(F.sum("n").alias("m"), F.max("reach").alias("reach"))
+        after = state.join(per, "h").join(rank, "h").select("h", (F.col("n") + F.col("m")).alias("n"), F.concat("seen", F.array(block.cast("int"), "reach")).alias("seen"))
+        after = cut(after, "vd-state")
+        drop(state, ranks, *found)
+        state = after
+    return state.select("h", "n"), edges
 
 
 def link(vectors: DataFrame, p: Passes = Passes(), id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -172,17 +275,13 @@ def link(vectors: DataFrame, p: Passes = Passes(), id_col: str = "vec_id", vecto
     # a class is all rows of one vector; its name is its least id
     some = all_.where("dim > 0")
     per = cut(some.groupBy("h").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("members")).where("cls is not null"), "vd-classes")
-    one = cut(full.where("dim > 0").join(per, "h").where("vec_id = cls").select("h", "cls", "dim", "vec").dropDuplicates(["h"]), "vd-one")
-    pairs = found_pairs(one, p)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    size = per.groupBy("cls").agg(F.sum("members").alias("members"))
-    links = cut(both.join(size.select(F.col("cls").alias("b"), "members"), "b").groupBy("a").agg(F.sum("members").alias("others")), "vd-links")
+    one = cut(full.where("dim > 0").join(per, "h").where("vec_id = cls").select("h", "cls", "members", "dim", "vec").dropDuplicates(["h"]), "vd-one")
+    links, pairs = found_links(one, p)
     comp = components(pairs)
-    j = (all_.select("vec_id", "dim", "h").join(per, "h", "left")
-         .join(links.withColumnRenamed("a", "cls"), "cls", "left")
+    j = (all_.select("vec_id", "dim", "h").join(per, "h", "left").join(links, "h", "left")
          .join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left"))
-    n = F.when(F.col("cls").isNull(), F.lit(0)).otherwise(F.col("members") - 1 + F.coalesce("others", F.lit(0))).cast("long")
+    n = F.when(F.col("cls").isNull(), F.lit(0)).otherwise(F.col("members") - 1 + F.coalesce("n", F.lit(0))).cast("long")
     out = j.select("vec_id", n.alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "cls", "vec_id")).alias("component_id"))
     out = cut(out, "vd-result")
-    drop(all_, per, one, links, comp)
+    drop(all_, per, one, comp)
     return out.withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id")))
