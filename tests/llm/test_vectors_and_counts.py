@@ -48,6 +48,29 @@ def test_no_group_is_cut_at_a_segment(spark):
     assert all(got[i].n_links <= links[i] for i in range(900, 1200))
 
 
+def test_planted_pairs_at_the_threshold(spark):
+    """Pairs at 0.9 to 0.92 among many vectors for the window: the passes that the row count asks for find them, the floor alone doesn't."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.standard_normal((500, 64)))
+    off = rng.standard_normal((500, 64))
+    off = unit(off - (off * x).sum(axis=1, keepdims=True) * x)
+    cos = rng.uniform(0.9001, 0.92, (500, 1))
+    rows = np.concatenate([x, cos * x + np.sqrt(1 - cos * cos) * off, rng.standard_normal((1000, 64))])
+    p = vd.Passes(window=64, passes=2, recall=0.999)
+    assert vd.passes_for(p, len(rows)) > p.passes
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vd.link(d, p).collect()}
+    found = sum(got[i].n_links == 1 == got[500 + i].n_links and got[500 + i].component_id == i for i in range(500))
+    assert found >= 0.99 * 500
+
+
+def test_passes_grow_with_the_rows():
+    n = [vd.passes_for(vd.Passes(), 10 ** k) for k in range(9)]
+    assert n == sorted(n) and n[:4] == [12] * 4 and n[7] > n[6] > n[5] > 12
+    assert vd.passes_for(vd.Passes(passes=100), 10 ** 7) == 100
+
+
 def test_pairs_meet_whatever_the_partitions(spark):
     """Segments of one window: a single pass over one line of vectors finds the neighbours across every border, at any partition count."""
     rng = np.random.default_rng(7)

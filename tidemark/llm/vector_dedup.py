@@ -16,6 +16,8 @@ compared once and counted with their number.
 No pair is ever written.  A vector keeps its block and the last block it was
 compared with for every pass, which tells whether an earlier pass compared two
 vectors; a pass counts the links that are new and keeps edges that span them.
+The number of passes follows from the number of vectors and the recall that is
+asked for at the threshold (:func:`passes_for`).
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different length are never compared;
@@ -40,13 +42,29 @@ from .order import prefix_sums
 @dataclass(frozen=True)
 class Passes:
     cosine: float = 0.9
-    passes: int = 12
+    passes: int = 12             # at least; more as ``recall`` asks for
+    recall: float = 0.999        # of pairs exactly at the threshold, among evenly spread vectors
     bits: int = 32
     window: int = 512
     segment: int = 16            # in windows: what one task holds in order at a time
     seed: int = 23
 
 
+def passes_for(p: Passes, rows: int) -> int:
+    """Passes that find a pair at the threshold with probability ``recall``.
+
+    Two such vectors agree in a sign with probability 1 - angle / pi, and meet
+    in a pass if they share about log2(rows / window) leading signs.
+    """
+    agree = 1 - np.arccos(np.clip(p.cosine, -1, 1)) / np.pi
+    meet = agree ** min(max(np.log2(max(rows, 1) / p.window), 0), p.bits)
+    if meet >= p.recall or p.recall <= 0:
+        return p.passes
+    if meet == 0 or p.recall >= 1:
+        raise ValueError(f"no number of passes finds pairs at cosine {p.cosine} with probability {p.recall}")
+    return max(p.passes, int(np.ceil(np.log1p(-p.recall) / np.log1p(-meet))))
+
+
 def _planes(p: Passes, k: int, dim: int) -> np.ndarray:
     return np.random.default_rng([p.seed, k, dim]).standard_normal((dim, p.bits))
 
@@ -233,7 +251,7 @@ def found_links(one: DataFrame, p: Passes) -> tuple[DataFrame, DataFrame]:
     state = cut(one.select("h", F.lit(0).cast("long").alias("n"), F.array().cast("array<int>").alias("seen")), "vd-state")
     edges = None
     cols = ["h", "cls", "members", "dim", "vec", "seen", "rank"]
-    for k in range(p.passes):
+    for k in range(passes_for(p, total)):
         ranks = _ranked(one, p, k)
         rank = ranks.select("h", F.col("before").alias("rank"))
         rows = one.join(rank.join(state.select("h", "seen"), "h"), "h")
