@@ -127,3 +127,28 @@ def test_counts_of_documents(docs, rows, none, repeated):
         w = brute.WORD.findall(t or "")
         assert (got[i].n_words, got[i].n_tokens) == (len(w), sum(greedy(x, initial, inner) for x in w)), i
     assert wp.token_counts(none).count() == 0 and wp.token_counts(repeated).count() == repeated.count()
+
+
+def test_long_words_are_counted_whole(spark, scratch):
+    """op10_token_counts splits words of 101 and 1,000,000 characters, texts without spaces and blobs; an option still caps them."""
+    from tidemark.llm.queries import op10_token_counts
+    initial, inner = map(set, wp.load(wp.Vocabulary()))
+    most = max(map(len, initial | inner))
+
+    def pieces(word):
+        i = n = 0
+        while i < len(word):
+            j = next((j for j in range(min(len(word), i + most), i, -1) if word[i:j] in (inner if i else initial)), None)
+            if j is None:
+                return 1
+            i, n = j, n + 1
+        return n
+
+    words = ["a" * 100, "a" * 101, "international" * 8, "abcde" * 200_000, "deadbeef" * 40, "https://example.org/" + "path/" * 40]
+    texts = [*words, " ".join(words), "a" * 101 + " " + "a" * 101, "a" * 5000 + "\ue000"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in op10_token_counts(spark, scratch).collect()}
+    assert got == {i: (len(t.split()), sum(map(pieces, t.split()))) for i, t in enumerate(texts)}
+    assert got[1][1] > 1 and got[3][1] > 1000
+    capped = {r.doc_id: r.n_tokens for r in wp.token_counts(spark.read.parquet(f"{scratch}/documents.parquet"), wp.Vocabulary(max_chars=100)).collect()}
+    assert capped[1] == capped[3] == 1

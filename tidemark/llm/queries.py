@@ -62,8 +62,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy word-piece counts of all documents."""
-    return wordpiece.token_counts(documents(spark, sf_dir))
+    """Greedy word-piece counts of all documents, words of any length."""
+    return wordpiece.token_counts(documents(spark, sf_dir), wordpiece.Vocabulary(max_chars=None))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

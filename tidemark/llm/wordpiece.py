@@ -10,8 +10,10 @@ Words are ``[^\\x20\\x09-\\x0D]+``.  A word that greedy matching can't split
 counts as one unknown token.
 
 Defined cases: null or wordless text has 0 words and 0 tokens; a word longer
-than ``max_chars`` is one unknown token (as word-piece tokenizers do); rows
-that repeat are counted each; ids may be null; extra columns never enter.
+than ``max_chars`` is one unknown token (as word-piece tokenizers do), and
+without ``max_chars`` (None, as op10_token_counts has it) words of any length
+are split; rows that repeat are counted each; ids may be null; extra columns
+never enter.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame
 from .common import only, tune
 
 MOST = 500_000
+#: longer words are counted each time, so that what is kept stays small
+LONG = 100
 _OPEN: dict[tuple, "Automaton"] = {}
 
 
@@ -33,7 +37,7 @@ class Vocabulary:
     """Pieces from a sentencepiece file: those that begin with its word mark start words, the others continue them."""
     file: str = "piece_bpe_32k.model"
     mark: str = "▁"
-    max_chars: int = 100
+    max_chars: int | None = 100
 
 
 def load(v: Vocabulary) -> tuple[list[str], list[str]]:
@@ -53,7 +57,7 @@ def load(v: Vocabulary) -> tuple[list[str], list[str]]:
 class Automaton:
     """Trie with failure links and popped-piece counts."""
 
-    def __init__(self, initial: list[str], inner: list[str], max_chars: int = 100):
+    def __init__(self, initial: list[str], inner: list[str], max_chars: int | None = 100):
         self.max_chars = max_chars
         # states 0: start of a word, 1: start of a continuation
         child: list[dict] = [{}, {}]
@@ -89,7 +93,7 @@ class Automaton:
 
     def count(self, word: str) -> int:
         """Pieces of a word; 1 (unknown) if it can't be split."""
-        if len(word) > self.max_chars:
+        if self.max_chars is not None and len(word) > self.max_chars:
             return 1
         child, fail, pops = self.child, self.fail, self.pops
         s = n = 0
@@ -137,10 +141,13 @@ def _counts(v: Vocabulary):
                     a.known.clear()
                 got = list(map(a.known.get, w))
                 if None in got:
-                    for x, y in zip(w, got, strict=True):
-                        if y is None and x not in a.known:
-                            a.known[x] = a.count(x)
-                    got = list(map(a.known.__getitem__, w))
+                    for i, x in enumerate(w):
+                        if got[i] is None:
+                            got[i] = a.known.get(x)
+                            if got[i] is None:
+                                got[i] = a.count(x)
+                                if len(x) <= LONG:
+                                    a.known[x] = got[i]
                 words.append(len(w))
                 tokens.append(sum(got))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
