@@ -63,3 +63,35 @@ def test_baselines_quantiles_are_order_statistics(spark):
     df = spark.createDataFrame(rows, "series_id string, observation_date date, value double")
     b = Q.baselines(df, "value", "2024-01-31", 60).collect()[0]
     assert (b.row_count, b.min_value, b.max_value, b.p25, b.p75, b.null_pct) == (8, 1.0, 8.0, 2.0, 6.0, 0.0)
+
+
+def test_baselines_quantiles_are_exact_past_any_sketch(spark):
+    """300,000 distinct values of one series: the lower order statistics, and a group whose key is null."""
+    df = spark.range(300_000).selectExpr("'s' as series_id", "date'2024-01-10' as observation_date",
+                                         "cast(pow((id * 7919) % 300000, 1.5) as double) as value")
+    df = df.unionByName(spark.sql("select cast(null as string) series_id, date'2024-01-10' observation_date, cast(3 as double) value"))
+    got = {r.series_id: (r.p25, r.p75) for r in Q.baselines(df, "value", "2024-01-31", 60).collect()}
+    assert got[None] == (3.0, 3.0)
+    assert [round(x ** (2 / 3)) for x in got["s"]] == [74_999, 224_999]
+
+
+def test_check_log_monitor_keeps_ten_failures(spark):
+    rows = [(f"t{i:02}", "r", "failed", dt.datetime(2024, 1, 1), str(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "check_type string, resource_name string, check_status string, check_timestamp timestamp, check_id string")
+    assert [r.check_type for r in Q.check_log_monitor(df)[2].collect()] == [f"t{i:02}" for i in range(10)]
+
+
+def test_load_summary_keeps_series_without_rows(spark):
+    from tidemark.sources import observations as O
+    frame = lambda ids: spark.createDataFrame([(i,) for i in ids], "series_id string")
+    s = O.load_summary(frame(["a", "a", "b"]), frame(["b", "c"]), registry=frame(["a", "b", "c", "d"]))
+    assert {r.series_id: (r.fetched, r.upserted, r.failed, r.status) for r in s.collect()} == {
+        "a": (2, 2, 0, "success"), "b": (2, 1, 1, "partial"), "c": (1, 0, 1, "failed"), "d": (0, 0, 0, "no_data")}
+    t = O.load_totals(s).collect()[0]
+    assert (t.series, t.series_no_data, t.fetched, t.upserted, t.failed) == (4, 1, 5, 3, 2)
+
+
+def test_pairwise_correlations_hold_gdp():
+    from tidemark.config import SERIES
+    from tidemark.plans import quality_queries as QQ
+    assert set(QQ.ALL_SERIES) == {s.series_id for s in SERIES}

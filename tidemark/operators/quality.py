@@ -194,23 +194,31 @@ def row_drop(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("series
 
 
 def baselines(df: DataFrame, value: str, as_of: str, lookback_days: int, keys: Sequence[str] = ("series_id",),
-              date: str = "observation_date", accuracy: int = 100000) -> DataFrame:
+              date: str = "observation_date") -> DataFrame:
     """Per-series profile over the lookback: count, mean, σ, min, max, p25, p75, null %.
 
-    Quantiles use ``percentile_approx`` (a bounded sketch per group), which
-    is exact (the lower order statistic) while a group has fewer values than
-    the sketch keeps; an exact ``percentile`` would buffer a whole hot group
-    in one task.
+    Quantiles are exact at any size (the lower order statistic): values are
+    counted map-side per key and value, and a running sum over a key's
+    distinct values, sorted and never buffered, picks the rank.
     """
     hi = F.lit(as_of).cast("date")
     w = df.where((F.col(date) > F.date_sub(hi, lookback_days)) & (F.col(date) <= hi))
     v = F.col(value).cast("double")
-    return w.groupBy(*_k(keys)).agg(
+    per = w.where(v.isNotNull()).groupBy(*_k(keys), v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*_k(keys)).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = [f"_q{i}" for i in range(len(keys))]
+    n = per.groupBy(*_k(keys)).agg(F.sum("_c").alias("_n")).select(*[F.col(k).alias(q) for k, q in zip(keys, names, strict=True)], "_n")
+    same = [F.col(k).eqNullSafe(F.col(q)) for k, q in zip(keys, names, strict=True)]
+    ranked = per.withColumn("_to", F.sum("_c").over(run)).join(n, same)
+    at = {p: F.min(F.when(F.col("_to") >= F.col("_n") * q, F.col("_v"))).alias(p) for p, q in (("p25", 0.25), ("p75", 0.75))}
+    quant = ranked.groupBy(*names).agg(*at.values())
+    stats = w.groupBy(*_k(keys)).agg(
         F.lit(lookback_days).alias("lookback_days"),
         F.count(F.lit(1)).alias("row_count"), F.avg(v).alias("mean_value"), F.stddev_pop(v).alias("std_dev"),
         F.min(v).alias("min_value"), F.max(v).alias("max_value"),
-        F.percentile_approx(v, 0.25, accuracy).alias("p25"), F.percentile_approx(v, 0.75, accuracy).alias("p75"),
         (F.avg(F.when(F.col(value).isNull(), 1.0).otherwise(0.0)) * 100.0).alias("null_pct"))
+    return stats.join(quant, same, "left").select(*_k(keys), "lookback_days", "row_count", "mean_value", "std_dev",
+                                                  "min_value", "max_value", "p25", "p75", "null_pct")
 
 
 def baseline_drift(current: DataFrame, previous: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
@@ -351,7 +359,7 @@ def recent_non_pass(checks: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     return checks.where((F.col("check_status") != "passed") & (F.col("check_timestamp").cast("date") >= lo))
 
 
-def check_log_monitor(checks: DataFrame, top: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+def check_log_monitor(checks: DataFrame, top: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pass rate per day, last status per resource, most frequent failing checks (X11)."""
     day = F.col("check_timestamp").cast("date")
     rate = checks.groupBy(day.alias("check_date")).agg(

@@ -380,10 +380,12 @@ register("missing_periods", lambda s, d: Q.missing_periods(part_month_panel(s, d
 
 
 # ------------------------------------------------------------------ X8 pairwise correlation, long
+#: what the twin of pairwise_corr_long holds; pairwise_corr_all has every series of the registry
 PAIR_SERIES = ("CPIAUCSL", "FEDFUNDS", "HOUST", "UMCSENT", "UNRATE")
+ALL_SERIES = ("CPIAUCSL", "FEDFUNDS", "GDPC1", "HOUST", "UMCSENT", "UNRATE")
 
 
-def pairwise_corr_long(obs: DataFrame, keys, series=PAIR_SERIES, frame: int = 12) -> DataFrame:
+def pairwise_corr_long(obs: DataFrame, keys, series=ALL_SERIES, frame: int = 12) -> DataFrame:
     """Long table (series_a, series_b, coefficient) of rolling correlations for the configured series.
 
     The configured series are pivoted to columns in one shuffle (a fixed
@@ -403,21 +405,22 @@ def pairwise_corr_long(obs: DataFrame, keys, series=PAIR_SERIES, frame: int = 12
     return c.select(*keys, D, F.expr(f"stack({len(pairs)}, {st}) AS (series_a, series_b, coefficient)"))
 
 
-_PAIRS = [(a, b) for i, a in enumerate(PAIR_SERIES) for b in PAIR_SERIES[i + 1:]]
-cte("pair_wide", f"""
+for _name, _series in (("pair_wide", PAIR_SERIES), ("pair_wide_all", ALL_SERIES)):
+    cte(_name, f"""
   SELECT {K}, observation_date AS period_date_key,
-         {', '.join(f"max(value) FILTER (WHERE series_id = '{s}') AS {s}" for s in PAIR_SERIES)}
+         {', '.join(f"max(value) FILTER (WHERE series_id = '{s}') AS {s}" for s in _series)}
   FROM obs GROUP BY 1, 2""")
 
 
-def _pairs_sql():
+def _pairs_sql(series=PAIR_SERIES, wide="pair_wide"):
     from .operator_queries import _corr_sql
     return "\nUNION ALL ".join(
         f"SELECT {K}, period_date_key, '{a}' AS series_a, '{b}' AS series_b, {_corr_sql(a, b, 12, 'w')} AS coefficient "
-        f"FROM pair_wide WINDOW w AS (PARTITION BY {K} ORDER BY period_date_key)" for a, b in _PAIRS)
+        f"FROM {wide} WINDOW w AS (PARTITION BY {K} ORDER BY period_date_key)" for i, a in enumerate(series) for b in series[i + 1:])
 
 
-register("pairwise_corr_long", lambda s, d: pairwise_corr_long(_obs(s, d), [SEGMENT]), _pairs_sql())
+register("pairwise_corr_long", lambda s, d: pairwise_corr_long(_obs(s, d), [SEGMENT], PAIR_SERIES), _pairs_sql())
+register("pairwise_corr_all", lambda s, d: pairwise_corr_long(_obs(s, d), [SEGMENT]), _pairs_sql(ALL_SERIES, "pair_wide_all"))
 
 
 # ------------------------------------------------------------------ check log

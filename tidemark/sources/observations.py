@@ -172,22 +172,36 @@ def table_stats(df: DataFrame, keys: Sequence[str] = ("series_id",), date: str =
                                                      F.max(date).alias("latest_date"))
 
 
-def load_summary(parsed: DataFrame, quarantine: DataFrame, keys: Sequence[str] = ("series_id",)) -> DataFrame:
+def load_summary(parsed: DataFrame, quarantine: DataFrame, keys: Sequence[str] = ("series_id",),
+                 registry: DataFrame | None = None) -> DataFrame:
     """fetched / upserted / failed per series and a status.
 
+    ``registry`` holds the keys of all series that should load; those without
+    rows are kept with zeros, and series outside it are kept too.
+
     status: ``no_data`` when nothing was fetched, ``success`` when nothing
     failed, ``failed`` when nothing was upserted, else ``partial``.
     """
     k = [F.col(c) for c in keys]
     ok = parsed.select(*k, F.lit(1).alias("_ok"), F.lit(0).alias("_bad"))
     bad = quarantine.select(*k, F.lit(0).alias("_ok"), F.lit(1).alias("_bad"))
-    s = ok.unionByName(bad).groupBy(*k).agg(F.sum("_ok").alias("upserted"), F.sum("_bad").alias("failed"))
+    rows = ok.unionByName(bad)
+    if registry is not None:
+        rows = rows.unionByName(registry.select(*k, F.lit(0).alias("_ok"), F.lit(0).alias("_bad")))
+    s = rows.groupBy(*k).agg(F.sum("_ok").alias("upserted"), F.sum("_bad").alias("failed"))
     s = s.withColumn("fetched", F.col("upserted") + F.col("failed"))
     status = (F.when(F.col("fetched") == 0, "no_data").when(F.col("failed") == 0, "success")
               .when(F.col("upserted") == 0, "failed").otherwise("partial"))
     return s.select(*k, "fetched", "upserted", "failed", status.alias("status"))
 
 
+def load_totals(summary: DataFrame) -> DataFrame:
+    """One row over all series of :func:`load_summary`: series per status and rows fetched, upserted and failed."""
+    per = [F.count_if(F.col("status") == st).alias(f"series_{st}") for st in ("success", "partial", "failed", "no_data")]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("fetched", "upserted", "failed")]
+    return summary.agg(F.count(F.lit(1)).alias("series"), *per, *sums)
+
+
 CHECK_LOG_COLUMNS = ("check_id", "check_timestamp", "pipeline_run_id", "check_type", "resource_name", "check_status",
                      "severity", "metric_value", "threshold_value", "description", "details_json", "dbt_run_id")
 
