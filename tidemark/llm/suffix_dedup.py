@@ -1,4 +1,4 @@
-"""Suffix-array dedup (4): bucket-pointer refinement over sampled suffixes.
+"""Repeated strings (4): sampled anchors, grouped by fingerprints in three fixed passes (no suffix order).
 
 Finds every byte covered by a ``length``-byte string that also starts earlier
 (smaller id, or same document and earlier start).
@@ -8,11 +8,11 @@ Finds every byte covered by a ``length``-byte string that also starts earlier
    their anchors at equal offsets.  Consecutive starts mostly share an anchor;
    only anchors are sampled as suffixes and bucketed by their q-gram.  Buckets
    of one suffix hold no repeat and are dropped.
-2. Refinement by the bucket of the bytes around: an anchor's reach is the
+2. Grouping by the bytes around: an anchor's reach is the
    bytes of all strings it anchors.  Suffixes of equal reach form a sub-bucket;
    all but its first suffix are repeats over their whole reach.  A bucket with
    a single sub-bucket is settled.
-3. Recursive refinement of what is left, first suffixes of sub-buckets only:
+3. What is left is split once more, first suffixes of sub-buckets only:
    their starts are split by the side on which more of the string lies, and
    bucketed by the q-gram with the bytes on that side; buckets of one suffix
    are settled.  The remaining starts are bucketed by their whole string; all
