@@ -51,3 +51,20 @@ def test_odd_tables(none, repeated, docs):
 def test_no_python_in_the_plan(docs):
     plan = ls.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_notices_are_not_lost(spark):
+    """Exact copies of the shortest notice at the start of a text, where it lies in one window only."""
+    import random
+    rnd = random.Random(3)
+    texts = [(i, "All rights reserved. " + " ".join(f"w{rnd.randrange(10 ** 9)}" for _ in range(30))) for i in range(3000)]
+    got = ls.scan(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.doc_id for r in got.where("license_id = 'all-rights-reserved' and containment = 1").collect()} == set(range(3000))
+
+
+def test_worst_miss_of_an_exact_copy():
+    s = ls.Scan()
+    for name, t in ls.TEMPLATES.items():
+        w = ls.template_words(t)
+        share = len(ls.template_shingles(w, s.shingle)) / (3 * ls.size_class(len(w), s) // 2 - s.shingle + 1)
+        assert (1 - share) ** s.bands < 2e-6, name

@@ -60,7 +60,7 @@ class Scan:
     shingle: int = 3
     bands: int = 48
     threshold: float = 0.8
-    least_class: int = 8
+    least_class: int = 4          # so that a template of three words or more fills more than half of its class
     most_broadcast: int = 200_000   # band rows of the templates up to which their tables are broadcast
 
 
