@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, near_dup, packing, quality_rules, suffix_dedup, token_files, vector_dedup, warc, wordpiece
+from . import (license_scan, main_text, mixing, near_dup, packing, phrases, quality_rules, repair, suffix_dedup, token_files, vector_dedup,
+               warc, wordpiece)
 from .common import documents
 
 
@@ -66,6 +67,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(documents(spark, sf_dir), wordpiece.Vocabulary(max_chars=None))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a hash of their turns, repaired by weighted interval parsing."""
+    whole = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return repair.reports(repair.damage(whole), every=whole)
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by the container paths that win their host's vote."""
+    return main_text.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of 2 to 5 words in all documents, by dynamic itemset counting."""
+    return phrases.collocations(documents(spark, sf_dir), phrases.Mining(least=100, longest=5, top=2000))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """corpus_pipeline.run: quality rules, near-dedup, repeat removal, mixing, packing."""
     import corpus_pipeline
@@ -74,5 +91,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_near_dup, op3_token_files, op4_suffix_dedup, op5_warc, op6_mixing, op7_vector_dedup,
-                            op8_packing, op9_quality_rules, op10_token_counts, pipeline)}
-ORACLE: dict[str, str] = {}
+                            op8_packing, op9_quality_rules, op10_token_counts, op11_conversation_repair, op12_main_text, op13_phrases,
+                            pipeline)}
+ORACLE: dict[str, str] = {"op13_phrases": phrases.SQL}
