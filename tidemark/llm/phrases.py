@@ -57,7 +57,7 @@ class Mining:
     shards: int = 3
     cells: int = 1 << 24     # bytes of the filter that tasks get
     probes: int = 3
-    stretch: int = 16 << 20  # bytes of text worked off at a time
+    stretch: int = 6 << 20   # bytes of text worked off at a time: a task holds about 30 times as much
 
 
 # --- words and hashes ------------------------------------------------------------------------
@@ -118,6 +118,7 @@ def _split(buf: np.ndarray, offs: np.ndarray) -> tuple[pa.Array, np.ndarray, np.
     start[offs[:-1][filled]] = inside[offs[:-1][filled]]
     end[offs[1:][filled] - 1] = inside[offs[1:][filled] - 1]
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
+    del start, end
     row = np.searchsorted(offs, s, "right") - 1
     seps = np.cumsum(kind == 2, dtype=np.int32)[s] if len(s) else np.zeros(0, np.int32)
     fresh = np.ones(len(s), bool)
