@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from twin_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(E.registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,8 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.registry.ORACLE) == set(E.registry.QUERIES)
+    assert set(E.registry.QUERIES) <= set(E.queries()) and set(E.registry.ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -25,7 +26,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_twin(spark, con, name):
-    msg, ok = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
+    msg, ok = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert ok, msg
 
 

@@ -7,19 +7,16 @@ All are distributed DataFrame jobs; nothing iterates rows on the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("observations", T.ArrayType(T.StructType([
-        T.StructField("date", T.StringType()),
-        T.StructField("value", T.StringType()),
-    ]))),
-])
-
+#: a payload's observations, each as its own JSON text, so that one odd element does not take the others with it
+PAYLOAD_SCHEMA = "observations ARRAY<STRING>"
+ELEMENT_SCHEMA = "date STRING, value STRING"
 MISSING = "."
 
 
@@ -28,35 +25,35 @@ def parse_observations(payloads: DataFrame, payload_col: str = "payload", keys:
     """Flatten ``{"observations": [{date, value}]}`` payloads.
 
     Returns ``(parsed, quarantine)``.  ``"."`` or null value -> null value
-    (or the row is dropped with ``drop_missing``); a value or date that does
-    not parse goes to the quarantine frame with a reason, and so does a whole
-    payload that is no JSON (``bad_payload``, the text in ``raw_json``); a
-    payload without the ``observations`` key yields no rows.  The source
-    record is kept as JSON in ``raw_json``.
+    (or the row is dropped with ``drop_missing``).  Whatever does not fit goes
+    to the quarantine frame with a reason and its text in ``raw_json``:
+    ``bad_payload`` (no JSON object), ``bad_observations`` (the key holds no
+    list), ``bad_element`` (an element that is no object, with its place),
+    ``bad_date``, ``bad_value``.  The other elements of such a payload are
+    parsed all the same.  An object without the key, or a null payload,
+    yields no rows.  The source record is kept as it came in ``raw_json``.
     """
-    p = payloads.select(*[F.col(k) for k in keys],
-                        F.from_json(F.col(payload_col), PAYLOAD_SCHEMA).alias("_p"))
-    rows = p.select(*[F.col(k) for k in keys], F.posexplode(F.col("_p.observations")).alias("pos", "o"))
-    val = F.col("o.value")
+    k = [F.col(c) for c in keys]
+    names = F.json_object_keys(payload_col)
+    p = payloads.select(*k, F.col(payload_col).alias("_text"), names.alias("_names"), F.from_json(F.col(payload_col), PAYLOAD_SCHEMA)["observations"].alias("_list"))
+    rows = p.select(*k, F.posexplode("_list").alias("pos", "_e")).withColumn("_o", F.from_json("_e", ELEMENT_SCHEMA))
+    val = F.col("_o.value")
     missing = val.isNull() | (val == MISSING)
-    num = F.try_cast(val, "double") if hasattr(F, "try_cast") else F.expr("try_cast(o.value AS DOUBLE)")
-    d = F.try_to_date(F.col("o.date"), "yyyy-MM-dd")
-    bad = (~missing & num.isNull()) | d.isNull()
-    reason = F.when(d.isNull(), F.lit("bad_date")).when(~missing & num.isNull(), F.lit("bad_value"))
-    base = rows.select(*[F.col(k) for k in keys], "pos", d.alias("observation_date"),
-                       F.when(missing, F.lit(None).cast("double")).otherwise(num).alias("value"),
-                       F.to_json(F.col("o")).alias("raw_json"), bad.alias("_bad"), reason.alias("reason"),
-                       missing.alias("_missing"))
-    parsed = base.where(~F.col("_bad"))
+    num = F.try_cast(val, "double") if hasattr(F, "try_cast") else F.expr("try_cast(_o.value AS DOUBLE)")
+    d = F.try_to_date(F.col("_o.date"), "yyyy-MM-dd")
+    reason = (F.when(F.col("_e").isNull() | F.json_object_keys("_e").isNull(), F.lit("bad_element")).when(d.isNull(), F.lit("bad_date"))
+              .when(~missing & num.isNull(), F.lit("bad_value")))
+    base = rows.select(*k, "pos", d.alias("observation_date"), F.when(missing, F.lit(None).cast("double")).otherwise(num).alias("value"),
+                       F.col("_e").alias("raw_json"), reason.alias("reason"), missing.alias("_missing"))
+    parsed = base.where(F.col("reason").isNull())
     if drop_missing:
         parsed = parsed.where(~F.col("_missing"))
-    parsed = parsed.drop("_bad", "reason", "_missing")
-    quarantine = base.where(F.col("_bad")).drop("_bad", "_missing")
-    text = F.col(payload_col)
-    broken = payloads.where(text.isNotNull() & F.get_json_object(text, "$").isNull()).select(
-        *[F.col(k) for k in keys], F.lit(None).cast("int").alias("pos"), F.lit(None).cast("date").alias("observation_date"),
-        F.lit(None).cast("double").alias("value"), text.alias("raw_json"), F.lit("bad_payload").alias("reason"))
-    return parsed, quarantine.unionByName(broken)
+    whole = (F.when(F.col("_names").isNull(), F.lit("bad_payload"))
+             .when(F.array_contains("_names", "observations") & F.col("_list").isNull(), F.lit("bad_observations")))
+    broken = p.where(F.col("_text").isNotNull()).withColumn("reason", whole).where(F.col("reason").isNotNull()).select(
+        *k, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("date").alias("observation_date"),
+        F.lit(None).cast("double").alias("value"), F.col("_text").alias("raw_json"), "reason")
+    return parsed.drop("reason", "_missing"), base.where(F.col("reason").isNotNull()).drop("_missing").unionByName(broken)
 
 
 def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> DataFrame:
@@ -85,39 +82,53 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
 
 
+def read_partitioned(spark: SparkSession, path: str, partition_col: str, kind: str = "string") -> DataFrame:
+    """A table partitioned by ``partition_col``, whose values keep their text: ``007`` is read as ``007``, not as 7."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return df.withColumn(partition_col, F.col(partition_col).cast(kind)) if kind != "string" else df
+
+
 def write_upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], seq: str,
                  partition_col: str, most_literals: int = 1000, files: int = 4) -> DataFrame:
     """Upsert into a parquet table partitioned by ``partition_col``, rewriting only touched partitions.
 
-    Reads the current rows of the touched partitions, merges, and writes with
+    For few, small partitions; ``store.SeriesStore`` lays a table out by
+    (bucket, year) and rewrites only the years a batch touches.  Reads the
+    current rows of the touched partitions, merges, and writes with
     dynamic partition overwrite; untouched partitions stay as they are.  Only
     a missing table is a first load: a table that can't be read raises.  Up to
     ``most_literals`` touched values prune the scan as a literal filter, more
     by a semi join.  A partition is written as ``files`` files at most.
+    Partition values are read in the updates' type (an empty text is null, as in any folder name).
     """
-    from pyspark import StorageLevel
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from ..session import shared_path
+    from .store import remove
+    kind = updates.schema[partition_col].dataType.simpleString()
     touched = updates.select(partition_col).distinct()
     current = None
     if table_exists(spark, path):
-        current = spark.read.parquet(path)
+        current = read_partitioned(spark, path, partition_col, kind)
         some = [r[0] for r in touched.limit(most_literals + 1).collect()]
         if len(some) <= most_literals and None not in some:
             current = current.where(F.col(partition_col).isin(some))
         else:
             current = current.join(touched, current[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
-    # the lineage of the merged rows reads ``path``: cut it (reliable checkpoint in the
-    # shared folder) before overwriting the same partitions
-    held = upsert(current, updates, keys, seq).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        merged = held.checkpoint(eager=True)
-        salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files))
-        (merged.repartition(F.col(partition_col), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
-    finally:
-        held.unpersist()
-    return spark.read.parquet(path)
+    # the lineage of the merged rows reads ``path``: they are written to the shared folder
+    # before the same partitions are overwritten, and that copy is deleted afterwards
+    merged = upsert(current, updates, keys, seq)
+    staged = shared_path(spark, f"upsert-{uuid.uuid4().hex}")
+    merged.write.parquet(staged)
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files))
+    (spark.read.schema(merged.schema).parquet(staged).repartition(F.col(partition_col), salt).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    remove(spark, staged)
+    return read_partitioned(spark, path, partition_col, kind)
 
 
 OBSERVATION_COLUMNS = ("observation_date", "value", "units", "frequency", "ingested_at")
@@ -135,7 +146,7 @@ def write_observations(df: DataFrame, path: str, keys: Sequence[str] = ()) -> No
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Read the stored raw observation table; filters on ``series_id`` prune directories."""
-    return spark.read.parquet(path)
+    return read_partitioned(spark, path, "series_id")
 
 
 def high_water_mark(df: DataFrame, keys: Sequence[str] = ("series_id",), date: str = "observation_date") -> DataFrame:

@@ -5,7 +5,7 @@ newer observations, upsert them.  Here payload files arriving in a folder are
 the source; the stream's checkpoint records which files were processed (it
 replaces the high-water mark, so revised history in a new file is not
 skipped), and every micro-batch is parsed and upserted by key into a parquet
-table partitioned by series, rewriting only the touched partitions.  A
+table laid out by (bucket of series, year), rewriting only the touched ranges.  A
 retried batch rewrites the same rows (the upsert is idempotent).
 """
 
@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.observations import parse_observations, upsert, write_upsert
+from ..sources.observations import parse_observations, upsert
+from ..sources.store import SeriesStore
 
 PAYLOAD_FILE_SCHEMA = T.StructType([
     T.StructField("series_id", T.StringType()),
@@ -41,7 +42,7 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, target_path: str,
             path = quarantine_path or f"{target_path.rstrip('/')}_quarantine"
             rejected.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if not parsed.isEmpty():
-            write_upsert(spark, upsert(None, parsed, keys, (seq, "pos")).drop("pos"), target_path, keys, seq, partition_col="series_id")
+            SeriesStore(target_path, tuple(keys[:-1]), keys[-1], seq).upsert(upsert(None, parsed, keys, (seq, "pos")).drop("pos"))
     finally:
         batch.unpersist()
 
