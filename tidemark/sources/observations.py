@@ -217,9 +217,9 @@ CHECK_LOG_COLUMNS = ("check_id", "check_timestamp", "pipeline_run_id", "check_ty
                      "severity", "metric_value", "threshold_value", "description", "details_json", "dbt_run_id")
 
 
-def write_checks(checks: DataFrame, path: str) -> None:
-    """Append check rows to the check log, partitioned by check type."""
-    checks.write.mode("append").partitionBy("check_type").parquet(path)
+def write_checks(checks: DataFrame, path: str, partition_col: str = "check_type") -> None:
+    """Append check rows to the check log, partitioned by check type or another column."""
+    checks.write.mode("append").partitionBy(partition_col).parquet(path)
 
 
 RUN_RESULTS_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(T.StructType([
