@@ -13,26 +13,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..declared import FAMILIES, Check
 
 RESULT = ("model", "column_name", "check_name", "severity", "row_count", "failures", "status")
 
 
-def fails(check: Check) -> Column:
-    """Whether a row fails a check that looks at single rows."""
-    c = F.col(check.column)
+def _literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(v).lower() if isinstance(v, bool) else repr(v)
+
+
+def fails(check: Check) -> str:
+    """SQL of whether a row fails a check that looks at single rows."""
+    c = f"`{check.column}`"
     if check.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if check.kind == "accepted_values":
-        return c.isNotNull() & ~c.isin(*check.params)
+        return f"({c} IS NOT NULL AND {c} NOT IN ({', '.join(map(_literal, check.params))}))"
     if check.kind == "between":
-        return c.isNotNull() & ((c < F.lit(check.params[0])) | (c > F.lit(check.params[1])))
+        return f"({c} IS NOT NULL AND ({c} < {_literal(check.params[0])} OR {c} > {_literal(check.params[1])}))"
     raise ValueError(f"{check.name}: no check of single rows")
 
 
-def of_family(df: DataFrame, check: Check) -> bool:
-    kind = df.schema[check.column].dataType.simpleString().split("(")[0]
+def of_family(schema: StructType, check: Check) -> bool:
+    kind = schema[check.column].dataType.simpleString().split("(")[0]
     return kind in FAMILIES[check.params[0]]
 
 
@@ -47,30 +54,30 @@ def check_model(df: DataFrame, checks: Sequence[Check], keys: Sequence[str] = ()
     nulls apart; of a type check 1.  A check of a column that the model lacks
     has null failures and status ``missing``, which counts as failed.
     """
-    own = [k for k in keys if k in df.columns]
-    here = [c for c in checks if c.column in df.columns]
+    schema = df.schema
+    own = [k for k in keys if k in schema.names]
+    here = [c for c in checks if c.column in schema.names]
     by_row = {f"f{i}": c for i, c in enumerate(here) if c.kind not in ("unique", "of_type")}
     unique = [c for c in here if c.kind == "unique"]
-    sums = [F.count(F.lit(1)).alias("n"), *[F.count_if(fails(c)).alias(n) for n, c in by_row.items()]]
+    sums = [F.count(F.lit(1)).alias("n"), *[F.expr(f"count_if({fails(c)}) AS {n}") for n, c in by_row.items()]]
     if unique:
         per = df.groupBy(*own, unique[0].column).agg(*sums)
-        total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in by_row],
+        total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.expr(f"coalesce(sum({n}), 0) AS {n}") for n in by_row],
                         F.count_if((F.col("n") > 1) & F.col(unique[0].column).isNotNull()).alias("u0"))
     else:
         total = df.agg(*sums)
-    found: dict[Check, Column] = {c: F.col(n) for n, c in by_row.items()}
+    found: dict[Check, str] = {c: n for n, c in by_row.items()}
     if unique:
-        found[unique[0]] = F.col("u0")
+        found[unique[0]] = "u0"
     for i, c in enumerate(unique[1:], 1):  # further keys need an aggregation of their own
         more = df.where(F.col(c.column).isNotNull()).groupBy(*own, c.column).agg(F.count(F.lit(1)).alias("m"))
         total = total.crossJoin(more.agg(F.count_if(F.col("m") > 1).alias(f"u{i}")))  # one row each
-        found[c] = F.col(f"u{i}")
+        found[c] = f"u{i}"
     for c in here:
         if c.kind == "of_type":
-            found[c] = F.lit(0 if of_family(df, c) else 1)
-    rows = F.array(*[F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check_name"),
-                              F.lit(c.severity).alias("severity"), F.col("n").alias("row_count"),
-                              found.get(c, F.lit(None)).cast("long").alias("failures")) for c in checks])
+            found[c] = "0" if of_family(schema, c) else "1"
+    rows = F.array(*[F.expr(f"named_struct('model', '{c.model}', 'column_name', '{c.column}', 'check_name', '{c.kind}', 'severity', '{c.severity}', "
+                            f"'row_count', n, 'failures', CAST({found.get(c, 'NULL')} AS LONG))") for c in checks])
     out = total.select(F.explode(rows).alias("r")).select("r.*")
     return out.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT)
 
@@ -96,13 +103,14 @@ def failing_rows(df: DataFrame, checks: Sequence[Check], keys: Sequence[str] = (
     economy: the row's keys as JSON; period: its date; found: the value that
     failed (for a uniqueness check how often it occurs).
     """
-    own = [k for k in keys if k in df.columns]
+    schema = df.schema
+    own = [k for k in keys if k in schema.names]
     economy = F.to_json(F.struct(*own)) if own else F.lit("{}")
-    period = F.col(date).cast("date") if date in df.columns else F.lit(None).cast("date")
-    here = [c for c in checks if c.column in df.columns]
-    label = lambda c: [F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check_name"),
-                       F.lit(c.severity).alias("severity")]
-    marks = [F.when(fails(c), F.struct(*label(c), F.col(c.column).cast("string").alias("found"))) for c in here if c.kind not in ("unique", "of_type")]
+    period = F.col(date).cast("date") if date in schema.names else F.lit(None).cast("date")
+    here = [c for c in checks if c.column in schema.names]
+    label = lambda c: f"'model', '{c.model}', 'column_name', '{c.column}', 'check_name', '{c.kind}', 'severity', '{c.severity}'"
+    marks = [F.expr(f"CASE WHEN {fails(c)} THEN named_struct({label(c)}, 'found', CAST(`{c.column}` AS STRING)) END")
+             for c in here if c.kind not in ("unique", "of_type")]
     parts = []
     if marks:
         parts.append(df.select(economy.alias("economy"), period.alias("period"), F.explode(F.array_compact(F.array(*marks))).alias("m"))
@@ -110,8 +118,10 @@ def failing_rows(df: DataFrame, checks: Sequence[Check], keys: Sequence[str] = (
     for c in here:
         if c.kind == "unique":
             twice = df.where(F.col(c.column).isNotNull()).groupBy(*own, c.column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            day = F.col(c.column).cast("date") if df.schema[c.column].dataType.simpleString() in ("date", "timestamp", "timestamp_ntz") else F.lit(None).cast("date")
-            parts.append(twice.select(*label(c), economy.alias("economy"), day.alias("period"), F.col("n").cast("string").alias("found")))
+            day = F.col(c.column).cast("date") if schema[c.column].dataType.simpleString() in ("date", "timestamp", "timestamp_ntz") else F.lit(None).cast("date")
+            parts.append(twice.select(F.expr(f"named_struct({label(c)})").alias("m"), economy.alias("economy"), day.alias("period"),
+                                      F.col("n").cast("string").alias("found"))
+                         .select("m.model", "m.column_name", "m.check_name", "m.severity", "economy", "period", "found"))
     if not parts:
         return df.sparkSession.createDataFrame([], ", ".join(f"{n} {'date' if n == 'period' else 'string'}" for n in FAILING))
     return reduce(DataFrame.unionByName, parts)
