@@ -39,7 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object store) folder there; we only set our
-    own when it is unset, which is the local-test case.
+    own when it is unset and the master is local, as in tests.  Elsewhere an
+    unset folder raises: one on the driver's disk would not be seen by executors.
     """
     try:
         sc = spark.sparkContext
@@ -49,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         or (sc.getCheckpointDir() if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder; executors need one outside local mode")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
