@@ -9,6 +9,8 @@ from ..config import SERIES
 from ..operators import load_rules as L
 from ..operators import quality as Q
 from ..operators import spread
+from ..operators.intervals import interval_join
+from ..operators.payload import payload_verdict
 from ..sources import observations as O
 from ..sources.panels import SEGMENT
 from ..sources.tables import read_table
@@ -139,3 +141,55 @@ register("event_quantiles", lambda s, d: spread.quantiles(read_table(s, d, "even
                                                          {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}, ["event_type"]), """
   SELECT event_type, quantile_disc(value, 0.25) AS p25, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.75) AS p75,
          quantile_disc(value, 0.99) AS p99 FROM events WHERE value IS NOT NULL GROUP BY 1""")
+
+
+# ------------------------------------------------------------------ X2: verdict over whole payloads; J8: intervals
+def grouped_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads of many observations: the events of a type in 200 slices by id, in the order of their ids; every seventh is broken."""
+    one = event_payloads(spark, d).select("series_id", "event_id", (F.col("event_id") % 200).alias("part"), "date_str", "value_str")
+    rows = one.groupBy("series_id", "part").agg(F.sort_array(F.collect_list(F.struct("event_id", F.col("date_str").alias("date"), F.col("value_str").alias("value")))).alias("o"))
+    text = F.to_json(F.struct(F.transform("o", lambda x: F.struct(x["date"].alias("date"), x["value"].alias("value"))).alias("observations")))
+    return rows.select("series_id", "part", F.when(F.col("part") % 7 == 0, F.substring(text, 1, 40)).otherwise(text).alias("payload"))
+
+
+def _verdicts(spark: SparkSession, d: str) -> DataFrame:
+    v = payload_verdict(grouped_payloads(spark, d), "2024-01-25", ["series_id", "part"])
+    n = lambda reason: F.coalesce(F.get(F.filter("issues", lambda i: i["reason"] == reason), F.lit(0))["n"], F.lit(0))
+    return v.select("series_id", "part", "passed", "rejected", "rejected_for", "total", "valid", "invalid", *[
+        n(x).alias(f"n_{x}") for x in ("missing_field", "bad_date", "not_numeric", "future_date", "duplicate_date", "out_of_order")])
+
+
+register("payload_verdict", _verdicts, """
+  SELECT series_id, part, rejected_for IS NULL AND invalid = 0 AS passed, rejected_for IS NOT NULL AS rejected, rejected_for, total,
+         CAST(total - invalid AS INTEGER) AS valid, invalid, n_missing_field, n_bad_date, n_not_numeric, n_future_date, n_duplicate_date, n_out_of_order
+  FROM (SELECT *, CASE WHEN part % 7 = 0 THEN 'bad_payload' WHEN invalid > total * 0.5 THEN 'too_many_invalid' END AS rejected_for
+        FROM (SELECT series_id, part, CAST(CASE WHEN part % 7 = 0 THEN 0 ELSE count(*) END AS INTEGER) AS total,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND (missing OR bad OR nonnum OR fut OR dup)) AS INTEGER) AS invalid,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND missing) AS INTEGER) AS n_missing_field,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND bad) AS INTEGER) AS n_bad_date,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND nonnum) AS INTEGER) AS n_not_numeric,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND fut) AS INTEGER) AS n_future_date,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND dup) AS INTEGER) AS n_duplicate_date,
+                     CAST(count(*) FILTER (WHERE part % 7 <> 0 AND back) AS INTEGER) AS n_out_of_order
+              FROM (SELECT *, value_str IS NULL AS missing, dd IS NULL AS bad, coalesce(value_str = 'n/a', false) AS nonnum,
+                           coalesce(dd > DATE '2024-01-25', false) AS fut, dd IS NOT NULL AND count(*) OVER (PARTITION BY series_id, part, dd) > 1 AS dup,
+                           coalesce(dd < max(dd) OVER (PARTITION BY series_id, part ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS back
+                    FROM (SELECT *, event_id % 200 AS part, CASE WHEN date_str <> '2024-13-01' THEN d END AS dd FROM ev_raw) a) b
+              GROUP BY 1, 2) c) e""")
+
+
+def _shipping_days(spark: SparkSession, d: str) -> DataFrame:
+    """Per order day: its orders, and the large shipments on their way that day (two weeks from shipping)."""
+    days = read_table(spark, d, "orders", "o_orderdate").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
+    ways = read_table(spark, d, "lineitem", "l_orderkey", "l_quantity", "l_shipdate").where("l_quantity >= 45").select(
+        F.col("l_shipdate").cast("date").alias("first"), F.date_add(F.col("l_shipdate").cast("date"), 13).alias("last"), "l_quantity")
+    j = interval_join(days, ways, "day", "first", "last", bin_days=14, how="left")
+    return j.groupBy("day", "orders").agg(F.count("first").alias("on_their_way"), F.coalesce(F.sum(F.col("l_quantity").cast("decimal(12,2)")), F.lit(0)).cast("double").alias("quantity"))
+
+
+register("interval_join", _shipping_days, """
+  SELECT o.day, o.orders, count(l.first) AS on_their_way, CAST(coalesce(sum(CAST(l.l_quantity AS DECIMAL(12,2))), 0) AS DOUBLE) AS quantity
+  FROM (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1) o
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS first, CAST(l_shipdate AS DATE) + 13 AS last, l_quantity FROM lineitem WHERE l_quantity >= 45) l
+    ON o.day BETWEEN l.first AND l.last
+  GROUP BY 1, 2""", ("quantity",))
