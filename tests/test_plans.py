@@ -20,9 +20,12 @@ def test_windows_are_partitioned(spark):
 
 def test_filter_and_columns_pushed_to_scan(spark):
     p = plan(E.queries()["chk_future_dates"](spark, SF))
-    assert "ReadSchema: struct<o_custkey" not in p  # pruning: lineitem/orders read only needed columns
+    read = [set(re.findall(r"(\w+):", schema)) for schema in re.findall(r"ReadSchema: struct<([^>\n]*)", p)]
+    allowed = ({"o_orderkey", "o_custkey"}, {"o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"}, {"c_custkey", "c_mktsegment"},
+               {"l_orderkey", "l_discount", "l_extendedprice", "l_quantity", "l_shipdate"})
+    assert read and all(any(cols <= a for a in allowed) for cols in read), read  # each scan reads only what its branch needs
     p = plan(E.queries()["upsert_latest_wins"](spark, SF))
-    assert "PushedFilters: [IsNotNull(ts)" in p or "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p
 
 
 def test_upsert_uses_partial_aggregation(spark):
@@ -47,3 +50,13 @@ def test_validation_has_no_whole_series_window(spark):
     p = plan(E.queries()["validate_observations"](spark, SF))
     for spec in re.findall(r"windowspecdefinition\(([^)]*)", p):
         assert "_bucket" in spec, spec
+
+
+def test_only_month_aggregates_are_held(spark):
+    """No frame of row grain is cached: what the shared panel persists is keyed by (segment, month)."""
+    from tidemark.sources.panels import segment_observations
+    obs = segment_observations(spark, "/root/testdata/sf0.001")
+    plan = obs._jdf.queryExecution().withCachedData().toString()
+    held = [line for line in plan.splitlines() if "InMemoryRelation [" in line]
+    assert held and not any("o_orderkey" in line.split("]")[0] or "l_orderkey" in line.split("]")[0] for line in held)
+    assert all("c_mktsegment" in line.split("]")[0] and " m#" in line.split("]")[0] for line in held)

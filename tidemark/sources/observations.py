@@ -34,23 +34,25 @@ def parse_observations(payloads: DataFrame, payload_col: str = "payload", keys:
     yields no rows.  The source record is kept as it came in ``raw_json``.
     """
     k = [F.col(c) for c in keys]
-    names = F.json_object_keys(payload_col)
-    p = payloads.select(*k, F.col(payload_col).alias("_text"), names.alias("_names"), F.from_json(F.col(payload_col), PAYLOAD_SCHEMA)["observations"].alias("_list"))
+    names = F.json_object_keys("_text")
+    p = payloads.select(*k, F.col(payload_col).alias("_text"), F.from_json(F.col(payload_col), PAYLOAD_SCHEMA)["observations"].alias("_list"))
     rows = p.select(*k, F.posexplode("_list").alias("pos", "_e")).withColumn("_o", F.from_json("_e", ELEMENT_SCHEMA))
     val = F.col("_o.value")
     missing = val.isNull() | (val == MISSING)
     num = F.try_cast(val, "double") if hasattr(F, "try_cast") else F.expr("try_cast(_o.value AS DOUBLE)")
     d = F.try_to_date(F.col("_o.date"), "yyyy-MM-dd")
-    reason = (F.when(F.col("_e").isNull() | F.json_object_keys("_e").isNull(), F.lit("bad_element")).when(d.isNull(), F.lit("bad_date"))
+    # an element with a date is an object; only the others are looked at again
+    reason = (F.when(d.isNull() & (F.col("_e").isNull() | F.json_object_keys("_e").isNull()), F.lit("bad_element")).when(d.isNull(), F.lit("bad_date"))
               .when(~missing & num.isNull(), F.lit("bad_value")))
     base = rows.select(*k, "pos", d.alias("observation_date"), F.when(missing, F.lit(None).cast("double")).otherwise(num).alias("value"),
                        F.col("_e").alias("raw_json"), reason.alias("reason"), missing.alias("_missing"))
     parsed = base.where(F.col("reason").isNull())
     if drop_missing:
         parsed = parsed.where(~F.col("_missing"))
-    whole = (F.when(F.col("_names").isNull(), F.lit("bad_payload"))
-             .when(F.array_contains("_names", "observations") & F.col("_list").isNull(), F.lit("bad_observations")))
-    broken = p.where(F.col("_text").isNotNull()).withColumn("reason", whole).where(F.col("reason").isNotNull()).select(
+    whole = (F.when(names.isNull(), F.lit("bad_payload"))
+             .when(F.array_contains(names, "observations"), F.lit("bad_observations")))
+    # a payload whose list can be read is one; a broken text may still yield a list
+    broken = p.where(F.col("_text").isNotNull() & (F.col("_list").isNull() | names.isNull())).withColumn("reason", whole).where(F.col("reason").isNotNull()).select(
         *k, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("date").alias("observation_date"),
         F.lit(None).cast("double").alias("value"), F.col("_text").alias("raw_json"), "reason")
     return parsed.drop("reason", "_missing"), base.where(F.col("reason").isNotNull()).drop("_missing").unionByName(broken)

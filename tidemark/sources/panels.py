@@ -62,7 +62,8 @@ def line_month_facts(spark: SparkSession, sf_dir: str, segments: DataFrame | Non
     return j.groupBy(F.col(SEGMENT), month_start("l_shipdate").alias("m")).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col("l_discount").cast("decimal(12,2)")).alias("sum_disc"),
-        F.sum(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("sum_unit"),
+        # summed as decimals: the order of the rows can't change the sum
+        F.sum(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).cast("decimal(26,12)")).cast("double").alias("sum_unit"),
         F.max(F.col("l_shipdate").cast("timestamp_ntz")).alias("last_ts"))
 
 
@@ -84,20 +85,20 @@ def segment_observations(spark: SparkSession, sf_dir: str, share: bool = True) -
     unemployment = % of orders with status F; GDP = quarterly price sum / 1e6;
     fed funds = 100 × mean discount; CPI = mean unit price / 10.
     Each branch carries its ``series_id`` as a literal, so a filter on one
-    series prunes the other branches at planning time.  With ``share`` the
-    frames several branches read are persisted, so their scans and joins run
-    once when the whole panel is built.
+    series prunes the other branches at planning time.  With ``share`` the two
+    month aggregates, which several branches read, are persisted, so their
+    scans and joins run once when the whole panel is built.
     """
     keys = [SEGMENT]
-    # orders ⋈ customer feeds both sides (order facts, and the segment of each
-    # line item's order): computed once.  The two month aggregates feed four and
-    # two series.  Persisted blocks lost with an executor are recomputed.
+    # Only frames of (segment, month) grain are ever held, a few rows a month
+    # whatever the input; rows of orders are not.  orders ⋈ customer runs once for
+    # the order facts and once, with two columns, for the segment of each line
+    # item's order.  Persisted blocks lost with an executor are recomputed.
     # ``share=False`` is for a query that reads one branch only (nothing re-read).
     def keep(df):
         return df.persist(StorageLevel.MEMORY_AND_DISK) if share else df
-    seg = keep(order_segments(spark, sf_dir))
-    om = keep(order_month_facts(spark, sf_dir, seg))
-    lm = keep(line_month_facts(spark, sf_dir, seg))
+    om = keep(order_month_facts(spark, sf_dir))
+    lm = keep(line_month_facts(spark, sf_dir))
     gq = om.groupBy(F.col(SEGMENT), quarter_start("m").alias("m")).agg(
         F.sum("sum_price").alias("sum_price"), F.max("last_ts").alias("last_ts"))
     parts = [
