@@ -37,7 +37,7 @@ class Vocabulary:
     """Pieces from a sentencepiece file: those that begin with its word mark start words, the others continue them."""
     file: str = "piece_bpe_32k.model"
     mark: str = "▁"
-    max_chars: int | None = 100
+    max_chars: int | None = None   # longer words count as one token; None: words of any length are split
 
 
 def load(v: Vocabulary) -> tuple[list[str], list[str]]:
@@ -57,7 +57,7 @@ def load(v: Vocabulary) -> tuple[list[str], list[str]]:
 class Automaton:
     """Trie with failure links and popped-piece counts."""
 
-    def __init__(self, initial: list[str], inner: list[str], max_chars: int | None = 100):
+    def __init__(self, initial: list[str], inner: list[str], max_chars: int | None = None):
         self.max_chars = max_chars
         # states 0: start of a word, 1: start of a continuation
         child: list[dict] = [{}, {}]
