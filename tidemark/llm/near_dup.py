@@ -5,19 +5,26 @@ form a class, and one member stands for it.  Independent trees branch the
 classes by minwise tokens (level 1: one token per tree).  A node of at most
 ``small`` classes is compared exhaustively; a larger one first links its
 members to a pivot, then to ``stars`` fresh pivots those that are not
-connected yet, and then branches again by two more tokens per level until it is
-small, or all of its members are connected anyway.  What is still large
-at the last level is compared in full, minority against node, so no node is
-cut off.  Pairs pass a signature estimate and are confirmed on full sets.
-
-A pair at the threshold t meets in a tree's first node with probability t, so
-``trees`` independent trees miss it with (1 - t)**trees: 0.8 and 8 trees give
-2.6e-6, and the estimate's margin of 4.5 standard deviations about 3e-6.
+connected yet, and then branches again: two tokens, drawn anew for every tree
+and level, until its nodes are small or all of their members are connected
+anyway.  A node whose children would together hold more than ``pays`` of its
+comparisons is a dense group that tokens do not divide: it is compared in
+full, with its whole sets, in cells of two blocks of members, and a cell
+returns only links that join two groups there, fewer than it has members.
+Pairs of small nodes pass a signature estimate and are confirmed on full sets.
+
+A pair at the threshold t meets in a tree's first node with probability t.
+Two further tokens a level keep it together at every depth with probability
+1 - q at least, q = (1 - t + t q)**2 (a branching process): q = 1/16 for 0.8.
+So ``trees`` independent trees miss it with (1 - t (1 - q))**trees at most:
+8 trees give 1.6e-5 however deep they go (2.6e-6 where a node is small or
+compared in full at once), and the estimate's margin of 4.5 standard
+deviations adds about 3e-6.
 
 Defined cases: null or wordless text: empty set, linked with nothing.  Fewer
 words than ``words``: the whole sequence is the one shingle.  A null id is not
 compared: its component is null and it is kept.  Rows that repeat an id are
-judged each by their own text; classes that share a least id count as linked.
+judged each by their own text.
 """
 
 from __future__ import annotations
@@ -42,14 +49,18 @@ class ChosenPath:
     words: int = 5
     threshold_pct: int = 80   # link if 100 * intersection >= threshold_pct * union
     trees: int = 8
-    deep: int = 16            # further tokens that deeper levels choose from
     sketch: int = 128         # minwise bytes of the estimate
     margin: float = 4.5       # standard deviations below the threshold that an estimate may lie
     stars: int = 3            # stars from fresh pivots in large nodes that hold several components
     small: int = 8            # classes in a node that is compared exhaustively
-    cell: int = 48            # members on each side of a cell in which many pairs are confirmed
-    block: int = 512          # members on each side of a block of a node that is compared in full
-    depth: int = 3            # levels; what is large below is compared in full
+    pays: float = 0.8         # share of a node's comparisons that its children may hold together; below 1, so that branching ends
+    block: int = 1024         # members of a block of a node that is compared in full
+    block_bytes: int = 4 << 20  # bytes of the sets of a block
+    depth: int = 64           # levels; what is large below is compared in full
+
+    def __post_init__(self):
+        if not 0 <= self.pays < 1:
+            raise ValueError("pays must be at least 0 and below 1")
 
     @property
     def least_equal(self) -> int:
@@ -79,20 +90,30 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int):
                 yield np.zeros(0, U)
 
 
+def _minwise(u: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """The least element of the set under every multiplier."""
+    low = np.full(len(odd), 2**64 - 1, U)
+    for i in range(0, len(u), 4096):
+        np.minimum(low, (u[i:i + 4096, None] * odd[None, :]).min(axis=0), out=low)
+    return tb.mix(low)
+
+
 def _signer(p: ChosenPath):
     rng = np.random.default_rng(41)
-    paths = p.trees + p.deep
+    paths = p.trees
     odd = rng.integers(0, 2**63 - 1, paths + p.sketch, dtype=U) * U(2) + U(1)
 
     def sign(u: np.ndarray) -> tuple[bytes, bytes]:
-        low = np.full(len(odd), 2**64 - 1, U)
-        for i in range(0, len(u), 4096):
-            np.minimum(low, (u[i:i + 4096, None] * odd[None, :]).min(axis=0), out=low)
-        low = tb.mix(low)
+        low = _minwise(u, odd)
         return low[:paths].astype("<u4").tobytes(), (low[paths:] & U(255)).astype(np.uint8).tobytes()
     return sign
 
 
+def _fingerprint(u: np.ndarray) -> bytes:
+    v = tb.mix(u ^ U(0xA5A5A5A5DEADBEEF))
+    return int(u.sum(dtype=U)).to_bytes(8, "little") + int(v.sum(dtype=U)).to_bytes(8, "little")
+
+
 def _signatures(p: ChosenPath):
     def run(batches):
         sign = _signer(p)
@@ -101,8 +122,7 @@ def _signatures(p: ChosenPath):
             for u in shingle_sets(*tb.binary(batch.column(1)), p.words):
                 n.append(len(u))
                 if len(u):
-                    v = tb.mix(u ^ U(0xA5A5A5A5DEADBEEF))
-                    fp.append(int(u.sum(dtype=U)).to_bytes(8, "little") + int(v.sum(dtype=U)).to_bytes(8, "little"))
+                    fp.append(_fingerprint(u))
                     x, y = sign(u)
                 else:
                     fp, x, y = fp + [None], None, None
@@ -115,10 +135,23 @@ def _signatures(p: ChosenPath):
 
 
 def _sets(k: int):
+    """(rep, fp, shingles) of rows (rep, text); the fingerprint tells rows of another text under the same id."""
     def run(batches):
         for batch in batches:
-            sets = [u.tobytes() for u in shingle_sets(*tb.binary(batch.column(1)), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.large_binary()).cast(pa.binary())], names=["rep", "shingles"])
+            sets = list(shingle_sets(*tb.binary(batch.column(1)), k))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([_fingerprint(u) if len(u) else None for u in sets], pa.binary()),
+                 pa.array([u.tobytes() for u in sets], pa.large_binary()).cast(pa.binary())], names=["rep", "fp", "shingles"])
+    return run
+
+
+def _tokens(p: ChosenPath, level: int):
+    """(rep, deep): two minwise tokens of 8 bytes for every tree, drawn for this level alone."""
+    def run(batches):
+        odd = np.random.default_rng([43, level]).integers(0, 2**63 - 1, 2 * p.trees, dtype=U) * U(2) + U(1)
+        for batch in batches:
+            deep = [_minwise(np.frombuffer(x, U), odd).astype("<u8").tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(deep, pa.binary())], names=["rep", "deep"])
     return run
 
 
@@ -152,27 +185,86 @@ def _exhaustive(least: int):
     return run
 
 
-def _across(least: int):
-    """Blocks of a large node (two lists of rep, comp, sketch): pairs across them of unconnected members that look alike."""
+def shared(sets: list[np.ndarray], few: int = 128, width: int = 2048, most: int = 1 << 22) -> np.ndarray:
+    """Intersection sizes of all pairs i < j of sets: elements of few sets by their pairs, the others by matrix products."""
+    n = len(sets)
+    who = np.repeat(np.arange(n), [len(x) for x in sets])
+    h = np.concatenate(sets) if n else np.zeros(0, U)
+    order = np.argsort(h, kind="stable")
+    h, who = h[order], who[order]
+    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    count = np.diff(np.append(start, len(h)))
+    both = np.zeros(n * n, np.int64)
+    held, size = [], 0
+    for c in range(2, min(few, n) + 1):
+        cols = start[count == c]
+        x, y = np.triu_indices(c, 1)
+        step = max(1, most // len(x))
+        for k in range(0, len(cols), step):
+            rows = who[cols[k:k + step, None] + np.arange(c)]
+            held.append((rows[:, x] * n + rows[:, y]).ravel())
+            size += len(held[-1])
+            if size >= most:
+                both += np.bincount(np.concatenate(held), minlength=n * n)
+                held, size = [], 0
+    if held:
+        both += np.bincount(np.concatenate(held), minlength=n * n)
+    both = both.reshape(n, n)
+    many = np.flatnonzero(count > few)
+    for k in range(0, len(many), width):
+        cols = many[k:k + width]
+        dense = np.zeros((n, len(cols)), np.float32)
+        for j, c in enumerate(cols):
+            dense[who[start[c]:start[c] + count[c]], j] = 1
+        both += (dense @ dense.T).astype(np.int64)
+    return np.triu(both, 1)
+
+
+def forest(rep: np.ndarray, comp: np.ndarray, side: np.ndarray, sets: list[np.ndarray], pct: int) -> list[tuple[int, int]]:
+    """Links of one cell that join two of its groups. ``side`` -1: all pairs; else pairs across the two sides."""
+    both = shared(sets)
+    both += both.T
+    n = np.array([len(x) for x in sets], np.int64)
+    link = 100 * both >= pct * (n[:, None] + n[None, :] - both)
+    link &= (side[:, None] < 0) | (side[:, None] != side[None, :])
+    comp, out = comp.copy(), []
+    for i in range(len(rep)):
+        near = np.flatnonzero(link[i] & (comp != comp[i]))
+        labels, first = np.unique(comp[near], return_index=True)
+        if len(labels):
+            out += [(int(rep[i]), int(rep[near[k]])) for k in first]
+            comp[np.isin(comp, labels)] = comp[i]
+    return out
+
+
+def _cells(pct: int):
+    """Cells (list of rep, comp, side, shingles): links that join two groups of the cell."""
     def run(batches):
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                sides = [batch.column(c)[i].values for c in (0, 1)]
-                if not all(len(x) for x in sides):
-                    continue
-                (ra, ca), (rb, cb) = ((np.asarray(x.field(0)), np.asarray(x.field(1))) for x in sides)
-                ta, tb_ = (np.frombuffer(b"".join(x.field(2).to_pylist()), np.uint8).reshape(len(x), -1).T.copy() for x in sides)
-                same = np.zeros((len(ra), len(rb)), np.uint8 if len(ta) < 256 else np.uint16)
-                for x, y in zip(ta, tb_, strict=True):  # byte by byte: the counts stay in the processor's cache
-                    same += x[:, None] == y[None, :]
-                j, k = np.nonzero((same >= least) & (ca[:, None] != cb[None, :]) & (ra[:, None] != rb[None, :]))
-                out.append(np.stack([np.minimum(ra[j], rb[k]), np.maximum(ra[j], rb[k])]))
-            x, y = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+                members = batch.column(0)[i].values
+                rep, comp, side = (np.asarray(members.field(k)) for k in (0, 1, 2))
+                data = members.field(3)
+                out += forest(rep, comp, side, [np.frombuffer(data[k].as_buffer(), U) for k in range(len(rep))], pct)
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
     return run
 
 
+def _in_full(rows: DataFrame, sets: DataFrame, p: ChosenPath) -> DataFrame:
+    """Links (a, b) of nodes that tokens do not divide, compared in full: a node of w blocks makes w (w + 1) / 2 cells.
+
+    A cell holds two blocks at most, bounded in members and bytes, so the size of a node adds tasks and not memory.
+    """
+    width = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(p.block)), F.ceil(F.col("weight") / F.lit(p.block_bytes))).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(7), "rep"), width).cast("int")
+    dealt = (rows.select("node", "rep", "comp", own.alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"))
+             .select(F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "rep", "comp",
+                     F.when(F.col("i") == F.col("j"), -1).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side")))
+    return (dealt.join(sets, "rep").groupBy("cell").agg(F.collect_list(F.struct("rep", "comp", "side", "shingles")).alias("m"))
+            .select("m").mapInArrow(_cells(p.threshold_pct), "a long, b long"))
+
+
 def _confirm(pct: int):
     def run(batches):
         for batch in batches:
@@ -195,56 +287,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: ChosenPath, name: str) -> D
     return cut(_attach(pairs, sets, "shingles").mapInArrow(_confirm(p.threshold_pct), "a long, b long"), name)
 
 
-def _confirm_cells(pct: int):
-    """Cells (sets of members, pairs among them): the pairs that are links."""
-    def run(batches):
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                members, pairs = batch.column(0)[i].values, batch.column(1)[i].values
-                rep = np.asarray(members.field(0))
-                order = np.argsort(rep)
-                data = members.field(1)
-                sets = [np.frombuffer(data[int(k)].as_buffer(), U) for k in order]
-                x, y = (np.asarray(pairs.field(k)) for k in (0, 1))
-                for a, b, j, k in zip(x.tolist(), y.tolist(), np.searchsorted(rep[order], x).tolist(), np.searchsorted(rep[order], y).tolist(), strict=True):
-                    n = len(sets[j]) + len(sets[k])
-                    if 100 * min(len(sets[j]), len(sets[k])) < pct * max(len(sets[j]), len(sets[k])):
-                        continue
-                    both = n - len(np.unique(np.concatenate([sets[j], sets[k]])))
-                    if 100 * both >= pct * (n - both):
-                        out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-    return run
-
+def _per_node(rows: DataFrame, *more: str) -> DataFrame:
+    """Nodes that hold two components or more, with their size and the bytes of their sets."""
+    return (rows.groupBy("node", *more).agg(F.count(F.lit(1)).alias("size"), F.sum(8 * F.col("n")).alias("weight"),
+                                            F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo < hi").drop("lo", "hi"))
 
-def _confirmed_dense(pairs: DataFrame, sets: DataFrame, p: ChosenPath, name: str) -> DataFrame:
-    """As :func:`_confirmed`, where many pairs lie within the same few members.
 
-    Pairs are dealt to cells: ``b`` goes with the least ``a`` it is paired
-    with, and both sides of such a home are hashed into blocks of about
-    ``cell`` members.  A set is shipped once per cell, not once per pair.
-    """
-    home = cut(pairs.groupBy("b").agg(F.min("a").alias("home")), f"{name}-home")
-    homed = cut(pairs.join(home, "b"), f"{name}-homed")
-    wide = lambda c: F.ceil(F.approx_count_distinct(c) / F.lit(p.cell)).alias(f"n{c}")  # noqa: E731  (only sizes the blocks)
-    sizes = homed.groupBy("home").agg(wide("a"), wide("b"))
-    block = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.col(f"n{c}")))
-    dealt = cut(homed.join(sizes, "home").select("a", "b", F.xxhash64("home", block("a"), block("b")).alias("cell")), f"{name}-dealt")
-    members = dealt.select("cell", F.explode(F.array("a", "b")).alias("rep")).distinct().join(sets.dropDuplicates(["rep"]), "rep")
-    rows = members.select("cell", F.struct("rep", "shingles").alias("m"), F.lit(None).cast("struct<a:bigint,b:bigint>").alias("p")).unionByName(
-        dealt.select("cell", F.lit(None).cast("struct<rep:bigint,shingles:binary>").alias("m"), F.struct("a", "b").alias("p")))
-    cells = rows.groupBy("cell").agg(F.collect_list("m").alias("m"), F.collect_list("p").alias("p")).select("m", "p")
-    out = cut(cells.mapInArrow(_confirm_cells(p.threshold_pct), "a long, b long"), name)
-    drop(home, homed, dealt)
+def _open_nodes(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of nodes that hold two components or more, with the node's size and weight."""
+    per = cut(_per_node(rows), f"{name}-per")
+    out = cut(rows.join(per, "node"), name)
+    drop(per)
     return out
 
 
-def _open_nodes(rows: DataFrame, name: str) -> DataFrame:
-    """Rows of nodes that hold two components or more, with the node's size and pivot component."""
-    per = cut(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-              .where("lo < hi").select("node", "size", F.col("lo").alias("main")), f"{name}-per")
-    return cut(rows.join(per, "node"), name)
+def _branch(large: DataFrame, sets: DataFrame, p: ChosenPath, level: int) -> tuple[DataFrame, DataFrame]:
+    """(open rows of the children, rows of the nodes that tokens do not divide). Two written tables."""
+    deep = cut(sets.join(large.select("rep").distinct(), "rep").select("rep", "shingles").mapInArrow(_tokens(p, level), "rep long, deep binary"), "nd-deep")
+    token = lambda j: F.xxhash64("node", F.lit(j), F.substring("deep", F.col("tree") * 16 + (8 * j + 1), F.lit(8)))
+    child = cut(large.join(deep, "rep").select("tree", "rep", "n", "comp", "sketch", F.col("node").alias("parent"), F.col("size").alias("parent_size"),
+                                               F.explode(F.array(token(0), token(1))).alias("node")), "nd-child")
+    per = cut(_per_node(child, "parent", "parent_size"), "nd-per")
+    stuck = cut(per.groupBy("parent", "parent_size").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("work"))
+                .where(F.col("work") > p.pays * F.col("parent_size").cast("double") * F.col("parent_size")).select("parent"), "nd-stuck")
+    rows = cut(child.drop("parent", "parent_size").join(per.join(stuck, "parent", "left_anti").select("node", "size", "weight"), "node"), "nd-open")
+    full = cut(large.join(stuck.withColumnRenamed("parent", "node"), "node", "left_semi").select("node", "rep", "comp", "size", "weight"), "nd-full")
+    drop(deep, child, per, stuck)
+    return rows, full
 
 
 def token(col: str, i: int) -> Column:
@@ -257,29 +327,29 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     d = only(docs, **{"doc_id": id_col, "text": text}).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = cut(d.mapInArrow(_signatures(p), "doc_id long, n_shingles long, fp binary, path binary, sketch binary"), "nd-signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    # one row stands for each class: that of its least id
-    stand = cut(filled.groupBy("fp").agg(F.min(F.struct("doc_id", "path", "sketch")).alias("s"))
-                .select("fp", F.col("s.doc_id").alias("rep"), "s.path", "s.sketch"), "nd-stand")
+    # one row stands for each class, named by a hash of its set; ids may repeat
+    stand = cut(filled.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "path", "sketch")).alias("s"))
+                .select("fp", F.xxhash64("fp").alias("rep"), F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), "s.path", "s.sketch"), "nd-stand")
     alike = _alike(p.least_equal)
 
     # level 1: a node per tree and token value; rows carry their sketches, so that stars need no further join
-    rows = stand.select("rep", "sketch", F.posexplode(F.array(*[F.xxhash64(F.lit(t), token("path", t)) for t in range(p.trees)]))
-                        .alias("tree", "node")).select("node", "rep", "sketch")
+    rows = stand.select("rep", "n", "sketch", F.posexplode(F.array(*[F.xxhash64(F.lit(t), token("path", t)) for t in range(p.trees)]))
+                        .alias("tree", "node")).select("node", "tree", "rep", "n", "sketch")
     per = cut(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "sketch")).alias("pivot")).where("size > 1"), "nd-per")
     nodes = cut(rows.join(per.select("node"), "node"), "nd-nodes")
     star = cut(nodes.join(per, "node").where("rep != pivot.rep")
                .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.sketch").alias("va"), F.col("sketch").alias("vb"))
                .mapInArrow(alike, "a long, b long").distinct(), "nd-star")
     # texts of every class that shares a node with another one: read and shuffled once
-    some = nodes.select("rep").distinct()
-    sets = cut(d.join(some, d.doc_id == some.rep).select("rep", "text")
-               .mapInArrow(_sets(p.words), "rep long, shingles binary"), "nd-sets")
+    some = nodes.select("rep").distinct().join(stand.select("rep", "id"), "rep")
+    sets = cut(d.join(some, d.doc_id == some.id).select("rep", "text").mapInArrow(_sets(p.words), "rep long, fp binary, shingles binary")
+               .where(F.xxhash64("fp") == F.col("rep")).select("rep", "shingles"), "nd-sets")
     linked = _confirmed(star, sets, p, "nd-links")
     label = components(linked)
 
     def open_rows(label):
         named = label.select(F.col("node").alias("rep"), "component")
-        rows = nodes.join(named, "rep", "left").select("node", "rep", "sketch", F.coalesce("component", "rep").alias("comp"))
+        rows = nodes.join(named, "rep", "left").select("node", "tree", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
         return _open_nodes(rows, "nd-open")
     rows = open_rows(label)
     # large nodes of several components: stars from fresh pivots, so that dense groups grow together
@@ -297,8 +367,8 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
         rows = open_rows(label)
         drop(old, before)
     drop(fresh, second, new)
-    # the rest: branched until small
-    found, made = [], []
+    # the rest: branched until small, or compared in full where tokens do not divide a node
+    found, links, made = [], [], []
     for level in range(1, p.depth + 1):
         made.append(rows)
         found.append(rows.where(F.col("size") <= p.small)
@@ -308,40 +378,32 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
         if large.isEmpty():
             break
         if level == p.depth:
-            # exhaustive: whoever is not in the node's main component, against the whole node, block by block
-            width = F.ceil(F.col("size") / F.lit(p.block)).cast("int")
-            own = F.pmod(F.xxhash64("rep"), width).cast("int")
-            every = F.sequence(F.lit(0), width - 1)
-            member = F.struct("rep", "comp", "sketch")
-            none = F.lit(None).cast("struct<rep:bigint,comp:bigint,sketch:binary>")
-            q = large.where("comp != main").select("node", own.alias("i"), F.explode(every).alias("j"), member.alias("x"), none.alias("y"))
-            whole = large.select("node", F.explode(every).alias("i"), own.alias("j"), none.alias("x"), member.alias("y"))
-            found.append(q.unionByName(whole).groupBy("node", "i", "j").agg(F.collect_list("x").alias("x"), F.collect_list("y").alias("y"))
-                         .select("x", "y").mapInArrow(_across(p.least_equal), "a long, b long"))
+            links.append(_in_full(large, sets, p))
             break
-        branch = lambda j: F.xxhash64("node", F.lit(level), F.lit(j), F.element_at(
-            F.array(*[token("path", p.trees + i) for i in range(p.deep)]),
-            (F.pmod(F.xxhash64("node", F.lit(j)), F.lit(p.deep // 2)) + 1 + j * (p.deep // 2)).cast("int")))  # noqa: B023
-        if level == 1:
-            large = large.join(stand.select("rep", "path"), "rep")
-        child = large.select("rep", "comp", "path", "sketch", F.explode(F.array(branch(0), branch(1))).alias("node"))
-        rows = _open_nodes(child, "nd-open")
+        rows, full = _branch(large, sets, p, level)
+        links.append(_in_full(full, sets, p))
+        made.append(full)
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
-    more = _confirmed_dense(cut(pairs.distinct(), "nd-pairs"), sets, p, "nd-links")
+    pairs = cut(pairs.distinct(), "nd-pairs")
+    more = _confirmed(pairs, sets, p, "nd-links")
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+    for f in links:
+        edges = edges.unionByName(f)
     final = components(edges)
 
-    member = (signed.select("doc_id", "n_shingles", "fp").join(stand.select("fp", "rep"), "fp", "left")
-              .join(final.select(F.col("node").alias("rep"), "component"), "rep", "left"))
-    cid = F.coalesce("component", "rep", "doc_id")
-    out = cut(member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), cid).alias("component_id")), "nd-result")
-    drop(signed, stand, per, nodes, star, sets, linked, label, more, final, *made)
+    # a component is named by the least id of its classes
+    member = stand.select("fp", "rep", "id").join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    least = member.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+    named = member.join(least, "component", "left").select("fp", F.coalesce("least", "id").alias("least"))
+    rows = signed.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
+    out = cut(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")), "nd-result")
+    drop(signed, stand, per, nodes, star, sets, linked, label, pairs, more, final, *made)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, p: ChosenPath = ChosenPath()) -> DataFrame:
-    """The documents of which one stays per component; columns of the input. Ids without a row to drop pass."""
-    gone = link(docs, p).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    """The documents of which one stays per component; columns of the input. An id goes only if none of its rows is kept."""
+    gone = link(docs, p).groupBy("doc_id").agg(F.max("kept").alias("any")).where("not any").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
