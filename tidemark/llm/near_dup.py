@@ -29,6 +29,7 @@ judged each by their own text.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +42,8 @@ from .common import cut, drop, only, tune
 from .components import components
 
 U = np.uint64
+#: a row of a node that is compared in full
+FULL = ("node", "rep", "comp", "size", "weight")
 
 
 @dataclass(frozen=True)
@@ -258,8 +261,8 @@ def _in_full(rows: DataFrame, sets: DataFrame, p: ChosenPath) -> DataFrame:
     """
     width = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(p.block)), F.ceil(F.col("weight") / F.lit(p.block_bytes))).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "rep"), width).cast("int")
-    dealt = (rows.select("node", "rep", "comp", own.alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"))
-             .select(F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "rep", "comp",
+    dealt = (rows.select("level", "node", "rep", "comp", own.alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"))
+             .select(F.xxhash64("level", "node", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "rep", "comp",
                      F.when(F.col("i") == F.col("j"), -1).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side")))
     return (dealt.join(sets, "rep").groupBy("cell").agg(F.collect_list(F.struct("rep", "comp", "side", "shingles")).alias("m"))
             .select("m").mapInArrow(_cells(p.threshold_pct), "a long, b long"))
@@ -294,6 +297,10 @@ def _per_node(rows: DataFrame, *more: str) -> DataFrame:
             .where("lo < hi").drop("lo", "hi"))
 
 
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
 def _open_nodes(rows: DataFrame, name: str) -> DataFrame:
     """Rows of nodes that hold two components or more, with the node's size and weight."""
     per = cut(_per_node(rows), f"{name}-per")
@@ -312,7 +319,7 @@ def _branch(large: DataFrame, sets: DataFrame, p: ChosenPath, level: int) -> tup
     stuck = cut(per.groupBy("parent", "parent_size").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("work"))
                 .where(F.col("work") > p.pays * F.col("parent_size").cast("double") * F.col("parent_size")).select("parent"), "nd-stuck")
     rows = cut(child.drop("parent", "parent_size").join(per.join(stuck, "parent", "left_anti").select("node", "size", "weight"), "node"), "nd-open")
-    full = cut(large.join(stuck.withColumnRenamed("parent", "node"), "node", "left_semi").select("node", "rep", "comp", "size", "weight"), "nd-full")
+    full = cut(large.join(stuck.withColumnRenamed("parent", "node"), "node", "left_semi").select(*FULL), "nd-full")
     drop(deep, child, per, stuck)
     return rows, full
 
@@ -368,29 +375,27 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
         drop(old, before)
     drop(fresh, second, new)
     # the rest: branched until small, or compared in full where tokens do not divide a node
-    found, links, made = [], [], []
+    # a level only writes its rows: both kinds of nodes are compared once, over the rows of all levels
+    few, undivided, made = [], [], []
     for level in range(1, p.depth + 1):
         made.append(rows)
-        found.append(rows.where(F.col("size") <= p.small)
-                     .groupBy("node").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("members"))
-                     .select("members").mapInArrow(_exhaustive(p.least_equal), "a long, b long"))
+        few.append(rows.where(F.col("size") <= p.small).select(F.lit(level).alias("level"), "node", "rep", "comp", "sketch"))
         large = rows.where(F.col("size") > p.small)
         if large.isEmpty():
             break
         if level == p.depth:
-            links.append(_in_full(large, sets, p))
+            undivided.append(large.select(F.lit(level).alias("level"), *FULL))
             break
         rows, full = _branch(large, sets, p, level)
-        links.append(_in_full(full, sets, p))
+        undivided.append(full.select(F.lit(level).alias("level"), *FULL))
         made.append(full)
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
-    pairs = cut(pairs.distinct(), "nd-pairs")
+    found = (_union(few).groupBy("level", "node").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("members"))
+             .select("members").mapInArrow(_exhaustive(p.least_equal), "a long, b long"))
+    pairs = cut(found.distinct(), "nd-pairs")
     more = _confirmed(pairs, sets, p, "nd-links")
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    for f in links:
-        edges = edges.unionByName(f)
+    if undivided:
+        edges = edges.unionByName(_in_full(_union(undivided), sets, p))
     final = components(edges)
 
     # a component is named by the least id of its classes
