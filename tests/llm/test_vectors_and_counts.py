@@ -152,3 +152,13 @@ def test_long_words_are_counted_whole(spark, scratch):
     assert got[1][1] > 1 and got[3][1] > 1000
     capped = {r.doc_id: r.n_tokens for r in wp.token_counts(spark.read.parquet(f"{scratch}/documents.parquet"), wp.Vocabulary(max_chars=100)).collect()}
     assert capped[1] == capped[3] == 1
+
+
+def test_classes_whose_rows_all_lack_an_id(spark):
+    """They count as links of others and join them; a component is named by the least id there is."""
+    a, b = [1.0, 0.0, 0.0], [0.98, 0.199, 0.0]
+    far = [0.9, 0.0, 0.4358]                       # near a, not near b
+    rows = [(5, b), (None, a), (None, a), (3, far), (9, [0.0, 0.0, 1.0]), (None, [0.0, -1.0, 0.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in vd.link(d).collect())
+    assert got == [(0, 0, None, True), (0, 3, None, True), (0, 3, None, True), (3, 2, 3, True), (5, 2, 3, False), (9, 0, 9, True)]

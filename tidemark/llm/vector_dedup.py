@@ -287,19 +287,22 @@ def link(vectors: DataFrame, p: Passes = Passes(), id_col: str = "vec_id", vecto
     tune(vectors.sparkSession)
     v = only(vectors, **{"vec_id": id_col, "v": vector}).withColumn("vec_id", F.col("vec_id").cast("long"))
     full = v.select("vec_id", F.col("v").cast("array<double>").alias("v")).mapInArrow(_normal(), "vec_id long, dim int, vec binary")
-    full = full.withColumn("h", F.unhex(F.sha2("vec", 256)))
+    full = full.withColumn("h", F.unhex(F.sha2(F.concat("vec", F.encode(F.col("dim").cast("string"), "utf-8")), 256)))
     # written without the vectors, which stand once per class in ``one``
     all_ = cut(full.select("vec_id", "dim", "h"), "vd-rows")
-    # a class is all rows of one vector; its name is its least id
+    # a class is all rows of one vector, named by a hash of it: its rows may all lack an id
     some = all_.where("dim > 0")
-    per = cut(some.groupBy("h").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("members")).where("cls is not null"), "vd-classes")
-    one = cut(full.where("dim > 0").join(per, "h").where("vec_id = cls").select("h", "cls", "members", "dim", "vec").dropDuplicates(["h"]), "vd-one")
+    per = cut(some.groupBy("h").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("members")).withColumn("cls", F.xxhash64("h")), "vd-classes")
+    one = cut(full.where("dim > 0").select("h", "dim", "vec").dropDuplicates(["h"]).join(per, "h").select("h", "cls", "members", "dim", "vec"), "vd-one")
     links, pairs = found_links(one, p)
     comp = components(pairs)
-    j = (all_.select("vec_id", "dim", "h").join(per, "h", "left").join(links, "h", "left")
-         .join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left"))
-    n = F.when(F.col("cls").isNull(), F.lit(0)).otherwise(F.col("members") - 1 + F.coalesce("n", F.lit(0))).cast("long")
-    out = j.select("vec_id", n.alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "cls", "vec_id")).alias("component_id"))
+    # a component is named by the least id of its classes
+    named = per.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    first = named.where("component is not null").groupBy("component").agg(F.min("least").alias("first"))
+    named = named.join(first, "component", "left").select("h", "members", F.coalesce("first", "least").alias("first"))
+    j = all_.select("vec_id", "h").join(named, "h", "left").join(links, "h", "left")
+    n = F.when(F.col("members").isNull(), F.lit(0)).otherwise(F.col("members") - 1 + F.coalesce("n", F.lit(0))).cast("long")
+    out = j.select("vec_id", n.alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("first", "vec_id")).alias("component_id"))
     out = cut(out, "vd-result")
     drop(all_, per, one, comp)
     return out.withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id")))
