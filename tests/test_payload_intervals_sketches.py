@@ -4,6 +4,8 @@ import bisect
 import datetime as dt
 import json
 import random
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import sketches as K
 from tidemark.operators.intervals import interval_join
 from tidemark.operators.payload import PayloadRules, payload_verdict
+from tidemark.plans.catalog import QUERIES
 
 
 def obs(*pairs):
@@ -42,6 +45,37 @@ def test_payload_verdicts(spark):
     assert "one bad of three" in strict and "good" not in strict
 
 
+def test_long_payloads_are_judged_in_the_time_of_their_length(spark):
+    """20,000 observations a payload against a plain loop; work with the square of that takes minutes."""
+    rng, rows, want = random.Random(8), [], {}
+    for k in range(4):
+        o = [(rng.choice([None, "2024-13-01"]) if rng.random() < 0.1 else str(dt.date(1890, 1, 1) + dt.timedelta(days=rng.randrange(50_000))),
+              rng.choice([None, ".", "x", "1.5", "2"])) for _ in range(20_000)]
+        rows.append((str(k), obs(*o)))
+        days = [dt.date.fromisoformat(d) if d and d != "2024-13-01" else None for d, _ in o]
+        often, top, n, invalid = Counter(days), None, Counter(), 0
+        for (date, value), d in zip(o, days, strict=True):
+            found = {"missing_field": date is None or value is None, "bad_date": date is not None and d is None, "not_numeric": value == "x",
+                     "future_date": d is not None and d > dt.date(2021, 1, 1), "before_1900": d is not None and d < dt.date(1900, 1, 1),
+                     "duplicate_date": d is not None and often[d] > 1}
+            invalid += any(found.values())
+            n.update(x for x, y in found.items() if y)
+            n["out_of_order"] += d is not None and top is not None and d < top
+            top = max((x for x in (d, top) if x is not None), default=None)
+        want[str(k)] = (20_000, invalid, dict(n) | ({"too_many_invalid": 1} if invalid > 10_000 else {}))
+    t0 = time.monotonic()
+    out = payload_verdict(spark.createDataFrame(rows, "series_id string, payload string"), "2021-01-01").collect()
+    assert {r.series_id: (r.total, r.invalid, {i.reason: i.n for i in r.issues}) for r in out} == want
+    assert time.monotonic() - t0 < 60
+
+
+def test_every_seventh_payload_is_broken_however_short(spark, scratch):
+    """A lone observation without a value makes a text of 40 characters: event 3,400 is one of slice 0."""
+    spark.createDataFrame([(3400, dt.datetime(2024, 1, 2), "a", 1.0)], "event_id long, ts timestamp_ntz, event_type string, value double") \
+        .write.parquet(f"{scratch}/events.parquet")
+    assert [r.rejected_for for r in QUERIES["payload_verdict"](spark, scratch).collect()] == ["bad_payload"]
+
+
 @pytest.mark.parametrize("bin_days, how", [(1, "inner"), (32, "inner"), (1000, "left")])
 def test_interval_join_equals_all_pairs(spark, bin_days, how):
     rng = random.Random(2)

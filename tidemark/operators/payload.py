@@ -2,11 +2,13 @@
 
 A payload is judged where it lies, with array functions over its own
 observations: no shuffle, no second read, whatever the number of payloads.
+Repeated dates are neighbours in a sort and the order of dates is followed
+by one fold, so the work grows with a payload's length.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,26 +28,22 @@ class PayloadRules:
     most_invalid: float = 0.5      # rejected if a larger share of its observations is invalid
 
 
-def _reasons(as_of: str, r: PayloadRules) -> Column:
-    """Reasons of every observation: array of arrays. ``_o``: parsed elements, ``_d``: their dates."""
+def _faults(as_of: str, r: PayloadRules) -> Callable[[Column], Column]:
+    """Errors that an observation shows by itself: all but ``duplicate_date``."""
     day = F.lit(as_of).cast("date")
     early = F.lit(r.earliest).cast("date")
 
-    def judge(o: Column, i: Column) -> Column:
-        d = F.get("_d", i)
-        number = o["value"].try_cast("double")
+    def judge(o: Column) -> Column:
+        d, number = o["day"], o["value"].try_cast("double")
         given = o["value"].isNotNull() & (o["value"] != MISSING)
-        back = F.array_max(F.slice("_d", F.lit(1), i))
         return F.array_compact(F.array(
             F.when(o["odd"], F.lit("bad_element")),
             F.when(~o["odd"] & (o["date"].isNull() | o["value"].isNull()), F.lit("missing_field")),
             F.when(o["date"].isNotNull() & d.isNull(), F.lit("bad_date")),
             F.when(given & number.isNull(), F.lit("not_numeric")),
             F.when(d > day, F.lit("future_date")),
-            F.when(d < early, F.lit("before_1900")),
-            F.when(F.element_at("_times", d) > 1, F.lit("duplicate_date")),
-            F.when((i > 0) & (d < back), F.lit("out_of_order"))))
-    return F.transform("_o", judge)
+            F.when(d < early, F.lit("before_1900"))))
+    return judge
 
 
 def payload_verdict(payloads: DataFrame, as_of: str, keys: Sequence[str] = ("series_id",), payload_col: str = "payload",
@@ -60,24 +58,30 @@ def payload_verdict(payloads: DataFrame, as_of: str, keys: Sequence[str] = ("ser
     """
     names = F.json_object_keys(payload_col)
     p = payloads.select(*keys, F.col(payload_col), names.alias("_names"), F.from_json(payload_col, PAYLOAD_SCHEMA)["observations"].alias("_list"))
-    element = F.transform("_list", lambda e: F.struct(F.from_json(e, ELEMENT_SCHEMA)["date"].alias("date"), F.from_json(e, ELEMENT_SCHEMA)["value"].alias("value"),
-                                                      (e.isNull() | F.json_object_keys(e).isNull()).alias("odd")))
-    p = p.withColumn("_o", element).withColumn("_d", F.transform("_o", lambda o: F.try_to_date(o["date"], "yyyy-MM-dd")))
-    days = F.array_sort(F.array_compact("_d"))
-    # how often each date occurs: the length of its run among the sorted dates
-    times = F.map_from_arrays(F.array_distinct(days), F.transform(
-        F.array_distinct(days), lambda x: F.size(F.filter(F.array_compact("_d"), lambda y: y == x))))
-    p = p.withColumn("_times", times).withColumn("_r", _reasons(as_of, rules))
-    invalid = F.size(F.filter("_r", lambda r: F.arrays_overlap(r, F.array(*[F.lit(x) for x in ERRORS]))))
+    # every step reads its array once or at an index, so a payload costs its length (and a sort); no step's column
+    # is used just once by the next, or the optimizer would work it out again for every element
+    one = F.transform("_list", lambda e: F.struct(F.from_json(e, ELEMENT_SCHEMA).alias("j"), (e.isNull() | F.json_object_keys(e).isNull()).alias("odd")))
+    one = F.transform(one, lambda o: F.struct(o["j"]["date"].alias("date"), o["j"]["value"].alias("value"), o["odd"],
+                                              F.try_to_date(o["j"]["date"], "yyyy-MM-dd").alias("day")))
+    faults = _faults(as_of, rules)
+    p = p.withColumn("_o", F.transform(one, lambda o: F.struct(o["day"].alias("day"), faults(o).alias("faults"))))
+    p = p.withColumn("_days", F.sort_array(F.transform(F.filter("_o", lambda o: o["day"].isNotNull()),
+                                                       lambda o: F.struct(o["day"].alias("day"), (F.size(o["faults"]) > 0).alias("bad")))))
+    # equal dates are neighbours among the sorted ones
+    p = p.withColumn("_twice", F.filter("_days", lambda x, i: (x["day"] == F.get("_days", i - 1)["day"]) | (x["day"] == F.get("_days", i + 1)["day"])))
+    back = F.aggregate("_o", F.struct(F.lit(None).cast("date").alias("top"), F.lit(0).alias("n")),
+                       lambda a, o: F.struct(F.greatest(a["top"], o["day"]).alias("top"), (a["n"] + F.when(o["day"] < a["top"], 1).otherwise(0)).alias("n")),
+                       lambda a: a["n"])
+    invalid = F.size(F.filter("_o", lambda o: F.size(o["faults"]) > 0)) + F.size(F.filter("_twice", lambda x: ~x["bad"]))
     total = F.coalesce(F.size("_list"), F.lit(0))
     p = p.withColumns({"total": F.when(F.col("_list").isNull(), F.lit(0)).otherwise(total),
                        "invalid": F.when(F.col("_list").isNull(), F.lit(0)).otherwise(invalid)})
     whole = (F.when(F.col("_names").isNull(), "bad_payload").when(F.col("_list").isNull(), "bad_observations")
              .when(F.col("invalid") > F.col("total") * rules.most_invalid, "too_many_invalid"))
-    flat = F.flatten("_r")
 
     def times_of(reason: str) -> Column:
-        return F.coalesce(F.size(F.filter(flat, lambda y: y == reason)), F.lit(0))
+        n = {"duplicate_date": F.size("_twice"), "out_of_order": back}.get(reason)
+        return F.coalesce(F.size(F.filter("_o", lambda o: F.array_contains(o["faults"], reason))) if n is None else n, F.lit(0))
     per = F.array(*[F.struct(F.lit("ERROR" if x in ERRORS else "WARNING").alias("severity"), F.lit(x).alias("reason"),
                              times_of(x).alias("n")) for x in (*ERRORS, *WARNINGS)])
     found = F.filter(per, lambda s: s["n"] > 0)

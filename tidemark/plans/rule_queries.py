@@ -149,7 +149,9 @@ def grouped_payloads(spark: SparkSession, d: str) -> DataFrame:
     one = event_payloads(spark, d).select("series_id", "event_id", (F.col("event_id") % 200).alias("part"), "date_str", "value_str")
     rows = one.groupBy("series_id", "part").agg(F.sort_array(F.collect_list(F.struct("event_id", F.col("date_str").alias("date"), F.col("value_str").alias("value")))).alias("o"))
     text = F.to_json(F.struct(F.transform("o", lambda x: F.struct(x["date"].alias("date"), x["value"].alias("value"))).alias("observations")))
-    return rows.select("series_id", "part", F.when(F.col("part") % 7 == 0, F.substring(text, 1, 40)).otherwise(text).alias("payload"))
+    # a lone observation can be as short as 40 characters: at least the last one goes, so that the rest is no JSON
+    broken = F.substring("text", F.lit(1), F.least(F.lit(40), F.length("text") - 1))
+    return rows.withColumn("text", text).select("series_id", "part", F.when(F.col("part") % 7 == 0, broken).otherwise(F.col("text")).alias("payload"))
 
 
 def _verdicts(spark: SparkSession, d: str) -> DataFrame:
