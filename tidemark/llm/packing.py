@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, only, tune
-from .tokens import encoder
+from .common import cut, drop, give_back, only, tune
+from .tokens import MOST, encoder
 
 
 @dataclass(frozen=True)
@@ -37,11 +37,12 @@ class Packing:
     shard: int = 8192                # pieces in a shard, about
     well_filled: float = 0.995       # sequences below this share of the tokens are packed again
     rounds: int = 4
+    held: int = MOST                 # parts of texts whose ids a worker keeps; memory and time only
 
 
-def _pieces(name: str, end_id: int, size: int, with_ids: bool):
+def _pieces(name: str, end_id: int, size: int, with_ids: bool, held: int = MOST):
     def run(batches):
-        enc = encoder(name)
+        enc = encoder(name, held)
         for batch in batches:
             doc, piece, start, length, crc, raw = [], [], [], [], [], []
             ids = batch.column(0).to_pylist()
@@ -69,7 +70,7 @@ def pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int =
     """A row per piece: doc_id, piece, start, length, ids_crc32 (and the ids, little-endian unsigned 32-bit)."""
     tune(docs.sparkSession)
     d = only(docs, **{"doc_id": id_col, "text": text}).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return d.mapInArrow(_pieces(tokenizer, end_id, p.tokens, with_ids),
+    return d.mapInArrow(give_back(_pieces(tokenizer, end_id, p.tokens, with_ids, p.held)),
                         "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 

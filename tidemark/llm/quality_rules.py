@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import only, tune
+from .common import give_back, only, tune
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -194,7 +194,7 @@ def _apply(d: DataFrame, text: str, rules: LineRules, with_text: bool) -> DataFr
     from pyspark.sql.types import StructType
     more = StructType.fromDDL(MEASURES + (", cleaned_text string" if with_text else ""))
     schema = StructType(list(d.schema.fields) + list(more.fields))
-    return d.mapInArrow(_mapper(d.columns, text, rules, to_arrow_schema(schema)), schema)
+    return d.mapInArrow(give_back(_mapper(d.columns, text, rules, to_arrow_schema(schema))), schema)
 
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

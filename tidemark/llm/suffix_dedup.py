@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import cut, drop, only, tune
+from .common import cut, drop, give_back, only, tune
 from .order import unique_ids
 
 U = np.uint64
@@ -128,7 +128,7 @@ def _start_rows(r: Repeats):
 
 def repeated_runs(d: DataFrame, r: Repeats) -> tuple[DataFrame, list[DataFrame]]:
     """(uid, s, n): runs of n consecutive starts whose strings also start earlier; the written tables behind it."""
-    all_ = cut(d.select("uid", "text").mapInArrow(_anchor_rows(r), ANCHOR), "sd-anchors")
+    all_ = cut(d.select("uid", "text").mapInArrow(give_back(_anchor_rows(r)), ANCHOR), "sd-anchors")
     # 1: q-gram buckets of two or more suffixes
     buckets = cut(all_.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("reach").alias("lo"), F.max("reach").alias("hi"))
                   .where("k > 1").select("gram", (F.col("lo") != F.col("hi")).alias("open")), "sd-buckets")
@@ -147,7 +147,7 @@ def repeated_runs(d: DataFrame, r: Repeats) -> tuple[DataFrame, list[DataFrame]]
     halves = cut(halves, "sd-halves")
     shared = cut(halves.groupBy("side").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("side"), "sd-shared")
     lists = halves.join(shared, "side").groupBy("uid").agg(F.collect_list(F.struct("s", "n")).alias("own"))
-    starts = cut(d.join(lists, "uid").select("uid", "text", "own").mapInArrow(_start_rows(r), "uid long, s long, h long"), "sd-starts")
+    starts = cut(d.join(lists, "uid").select("uid", "text", "own").mapInArrow(give_back(_start_rows(r)), "uid long, s long, h long"), "sd-starts")
     drop(halves, shared)
     early = cut(starts.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("uid", "s")).alias("f")).where("k > 1")
                 .select("h", F.col("f.uid").alias("fu"), F.col("f.s").alias("fs")), "sd-early")
@@ -222,7 +222,7 @@ def repeat_digests(docs: DataFrame, r: Repeats = Repeats(), id_col: str = "doc_i
     d, own = unique_ids(only(docs, **{"doc_id": id_col, "text": text}), "doc_id", "text")
     runs, tables = repeated_runs(d.select("uid", "text"), r)
     out = cut(_with_runs(d, runs).select("doc_id", "text", "own").mapInArrow(
-        _digests(r.length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "sd-result")
+        give_back(_digests(r.length)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "sd-result")
     drop(own, *tables)
     return out
 
@@ -242,7 +242,7 @@ def remove_repeats(docs: DataFrame, r: Repeats = Repeats()) -> DataFrame:
     runs, tables = repeated_runs(d.select("uid", F.col(i_text).alias("text")), r)
     lists = cut(runs.groupBy("uid").agg(F.collect_list(F.struct("s", "n")).alias("own")), "sd-lists")
     new = cut(d.join(lists, "uid").select("uid", F.col(i_text).alias("text"), "own").mapInArrow(
-        _strip(r.length), "uid long, text string"), "sd-new")
+        give_back(_strip(r.length)), "uid long, text string"), "sd-new")
     drop(*tables, lists)
     j = d.join(new.select("uid", F.col("text").alias("_text"), F.lit(True).alias("_new")), "uid", "left")
     out = []

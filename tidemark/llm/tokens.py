@@ -4,7 +4,7 @@ Both vocabularies split a text at single spaces between other characters
 before any merge, so the ids of a text are the ids of its parts in order.
 Parts are encoded by the tokenizers library once per worker and kept; texts
 are put together from them.  The cache lives as long as the Python worker and
-is emptied when it holds ``MOST`` parts.
+is emptied when it holds ``most`` parts.
 """
 
 from __future__ import annotations
@@ -24,15 +24,15 @@ _ODD = re.compile(r"\s(?:\s|\Z)")
 _OPEN: dict[tuple, "Encoder"] = {}
 
 
-def encoder(name: str) -> "Encoder":
-    """The worker's encoder for a file of the public tokenizers (or a path)."""
-    if name not in _OPEN:
-        _OPEN[name] = Encoder(name)
-    return _OPEN[name]
+def encoder(name: str, most: int = MOST) -> "Encoder":
+    """The worker's encoder for a file of the public tokenizers (or a path), whose cache is emptied at ``most`` parts."""
+    if (name, most) not in _OPEN:
+        _OPEN[name, most] = Encoder(name, most)
+    return _OPEN[name, most]
 
 
 class Encoder:
-    def __init__(self, name: str):
+    def __init__(self, name: str, most: int = MOST):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ["RAYON_NUM_THREADS"] = "1"
         from tokenizers import Tokenizer
@@ -43,6 +43,7 @@ class Encoder:
         self.t = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.t.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.most = most
         # a part may start with its space (byte-level), or spaces count for nothing (word ends)
         self.glue = " " if self._ids("a b") != self._ids("a") + self._ids("b") else ""
         # a separator that stays a token of its own: a line break before a space, or a digit among words
@@ -105,7 +106,7 @@ class Encoder:
 
     def _known(self, keys: list[str]) -> list[bytes]:
         """Ids of distinct parts, as bytes."""
-        if len(self.cache) > MOST:
+        if len(self.cache) > self.most:
             self.cache.clear()
         got = list(map(self.cache.get, keys))
         if None in got:
@@ -141,7 +142,7 @@ class Encoder:
         out = []
         for a in range(0, len(texts), 256):
             split = [self.parts(t) if t else [] for t in texts[a:a + 256]]
-            if len(self.cache) > MOST:
+            if len(self.cache) > self.most:
                 self.cache.clear()
             heads = [self._ids(p[0]) if p else [] for p in split] if self.glue else None
             flat = [x for p in split for x in (p[1:] if self.glue else p)]
