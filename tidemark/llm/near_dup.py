@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import cut, drop, only, tune
+from .common import cut, drop, give_back, only, tune
 from .components import components
 
 U = np.uint64
@@ -138,13 +138,14 @@ def _signatures(p: ChosenPath):
 
 
 def _sets(k: int):
-    """(rep, fp, shingles) of rows (rep, text); the fingerprint tells rows of another text under the same id."""
+    """(rep, fp, shingles, is_a, is_b) of rows (rep, text, is_a, is_b); the fingerprint tells rows of another text under the same id."""
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(*tb.binary(batch.column(1)), k))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([_fingerprint(u) if len(u) else None for u in sets], pa.binary()),
-                 pa.array([u.tobytes() for u in sets], pa.large_binary()).cast(pa.binary())], names=["rep", "fp", "shingles"])
+                 pa.array([u.tobytes() for u in sets], pa.large_binary()).cast(pa.binary()), batch.column(2), batch.column(3)],
+                names=["rep", "fp", "shingles", "is_a", "is_b"])
     return run
 
 
@@ -265,7 +266,7 @@ def _in_full(rows: DataFrame, sets: DataFrame, p: ChosenPath) -> DataFrame:
              .select(F.xxhash64("level", "node", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "rep", "comp",
                      F.when(F.col("i") == F.col("j"), -1).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side")))
     return (dealt.join(sets, "rep").groupBy("cell").agg(F.collect_list(F.struct("rep", "comp", "side", "shingles")).alias("m"))
-            .select("m").mapInArrow(_cells(p.threshold_pct), "a long, b long"))
+            .select("m").mapInArrow(give_back(_cells(p.threshold_pct)), "a long, b long"))
 
 
 def _confirm(pct: int):
@@ -280,14 +281,15 @@ def _confirm(pct: int):
     return run
 
 
-def _attach(pairs: DataFrame, table: DataFrame, col: str) -> DataFrame:
+def _attach(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, col: str) -> DataFrame:
     """(a, b, value of a, value of b) by two key joins."""
-    one = pairs.join(table.select(F.col("rep").alias("a"), F.col(col).alias("va")), "a")
-    return one.join(table.select(F.col("rep").alias("b"), F.col(col).alias("vb")), "b").select("a", "b", "va", "vb")
+    one = pairs.join(of_a.select(F.col("rep").alias("a"), F.col(col).alias("va")), "a")
+    return one.join(of_b.select(F.col("rep").alias("b"), F.col(col).alias("vb")), "b").select("a", "b", "va", "vb")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, p: ChosenPath, name: str) -> DataFrame:
-    return cut(_attach(pairs, sets, "shingles").mapInArrow(_confirm(p.threshold_pct), "a long, b long"), name)
+def _confirmed(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, p: ChosenPath, name: str) -> DataFrame:
+    """The pairs that are links by the full sets of their ends."""
+    return cut(_attach(pairs, of_a, of_b, "shingles").mapInArrow(give_back(_confirm(p.threshold_pct)), "a long, b long"), name)
 
 
 def _per_node(rows: DataFrame, *more: str) -> DataFrame:
@@ -332,7 +334,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     """One row per document: doc_id, n_shingles, component_id, kept. A written table."""
     tune(docs.sparkSession)
     d = only(docs, **{"doc_id": id_col, "text": text}).withColumn("doc_id", F.col("doc_id").cast("long"))
-    signed = cut(d.mapInArrow(_signatures(p), "doc_id long, n_shingles long, fp binary, path binary, sketch binary"), "nd-signed")
+    signed = cut(d.mapInArrow(give_back(_signatures(p)), "doc_id long, n_shingles long, fp binary, path binary, sketch binary"), "nd-signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     # one row stands for each class, named by a hash of its set; ids may repeat
     stand = cut(filled.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "path", "sketch")).alias("s"))
@@ -348,10 +350,16 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
                .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.sketch").alias("va"), F.col("sketch").alias("vb"))
                .mapInArrow(alike, "a long, b long").distinct(), "nd-star")
     # texts of every class that shares a node with another one: read and shuffled once
-    some = nodes.select("rep").distinct().join(stand.select("rep", "id"), "rep")
-    sets = cut(d.join(some, d.doc_id == some.id).select("rep", "text").mapInArrow(_sets(p.words), "rep long, fp binary, shingles binary")
-               .where(F.xxhash64("fp") == F.col("rep")).select("rep", "shingles"), "nd-sets")
-    linked = _confirmed(star, sets, p, "nd-links")
+    # a set says which end of a star's pair it is, so that the most pairs are confirmed without a shuffle of all other sets
+    end = lambda c: star.select(F.col(c).alias("rep"), F.lit(True).alias(f"is_{c}")).distinct()
+    some = (nodes.select("rep").distinct().join(stand.select("rep", "id"), "rep").join(end("a"), "rep", "left").join(end("b"), "rep", "left")
+            .select("rep", "id", F.coalesce("is_a", F.lit(False)).alias("is_a"), F.coalesce("is_b", F.lit(False)).alias("is_b")))
+    sets = cut(d.join(some, d.doc_id == some.id).select("rep", "text", "is_a", "is_b")
+               .mapInArrow(give_back(_sets(p.words)), "rep long, fp binary, shingles binary, is_a boolean, is_b boolean")
+               .where(F.xxhash64("fp") == F.col("rep")).select("rep", "shingles", "is_a", "is_b"), "nd-sets")
+    made = [sets]
+    linked = _confirmed(star, sets.where("is_a"), sets.where("is_b"), p, "nd-links")
+    sets = sets.select("rep", "shingles")
     label = components(linked)
 
     def open_rows(label):
@@ -367,7 +375,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     fresh_pairs = (large.join(fresh, "node").where("comp != p.comp and rep != p.rep")
                    .select(F.least("p.rep", "rep").alias("a"), F.greatest("p.rep", "rep").alias("b"), F.col("p.sketch").alias("va"), F.col("sketch").alias("vb")))
     second = cut(fresh_pairs.mapInArrow(alike, "a long, b long").distinct(), "nd-star")
-    new = _confirmed(second, sets, p, "nd-links")
+    new = _confirmed(second, sets, sets, p, "nd-links")
     if not new.isEmpty():
         old, before = label, rows
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
@@ -376,7 +384,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     drop(fresh, second, new)
     # the rest: branched until small, or compared in full where tokens do not divide a node
     # a level only writes its rows: both kinds of nodes are compared once, over the rows of all levels
-    few, undivided, made = [], [], []
+    few, undivided = [], []
     for level in range(1, p.depth + 1):
         made.append(rows)
         few.append(rows.where(F.col("size") <= p.small).select(F.lit(level).alias("level"), "node", "rep", "comp", "sketch"))
@@ -392,7 +400,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     found = (_union(few).groupBy("level", "node").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("members"))
              .select("members").mapInArrow(_exhaustive(p.least_equal), "a long, b long"))
     pairs = cut(found.distinct(), "nd-pairs")
-    more = _confirmed(pairs, sets, p, "nd-links")
+    more = _confirmed(pairs, sets, sets, p, "nd-links")
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     if undivided:
         edges = edges.unionByName(_in_full(_union(undivided), sets, p))
@@ -404,7 +412,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     named = member.join(least, "component", "left").select("fp", F.coalesce("least", "id").alias("least"))
     rows = signed.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
     out = cut(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")), "nd-result")
-    drop(signed, stand, per, nodes, star, sets, linked, label, pairs, more, final, *made)
+    drop(signed, stand, per, nodes, star, linked, label, pairs, more, final, *made)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
