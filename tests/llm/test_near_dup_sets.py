@@ -1,5 +1,7 @@
 """The sets that a star's pairs are confirmed on."""
 
+import re
+
 import pytest
 
 from tidemark.llm import near_dup
@@ -26,3 +28,25 @@ def test_a_stars_pairs_are_confirmed_on_the_sets_of_their_ends_alone(spark, conf
     assert got == {i: (i if i >= 1000 else i // 10 * 10) for i, _ in rows}
     pairs, of_a, of_b = confirmed[0]
     assert of_a == {a for a, _ in pairs} and of_b == {b for _, b in pairs}
+
+
+def test_the_sets_are_dealt_out_once_and_stay_where_they_are(spark, monkeypatch):
+    """No confirmation shuffles the table of all sets: second ends are read by bucket, and the tables are gone at the end."""
+    moved, old = [], near_dup._confirmed
+
+    def spy(pairs, of_a, of_b, *rest):
+        at_b = pairs.join(of_b.withColumnRenamed("rep", "b"), "b").select("a", "b", "shingles")
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(at_b._jdf.queryExecution(), "formatted")
+        moved.append(re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan))
+        return old(pairs, of_a, of_b, *rest)
+    monkeypatch.setattr(near_dup, "_confirmed", spy)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(10 * g + k, " ".join([f"g{g}w{i}" for i in range(59)] + [f"end{k}"])) for g in range(20) for k in range(3)]
+        got = {r.doc_id: r.component_id for r in near_dup.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+    assert moved and all(moved) and not any("shingles" in cols for one in moved for cols in one)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("nd_")]

@@ -59,9 +59,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like :func:`cut`, but in buckets by ``key``: joins on it read the rows where they are, however often, and shuffle the other side alone.
+
+    A bucket is read by one task, so ``key`` must be spread evenly.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, table)
+    table = table.replace("-", "_")
+    with _set(spark, CLEAN):
+        df.repartition(parts, key).write.format("parquet").option("path", path).bucketBy(parts, key).saveAsTable(table)
+    out = spark.table(table)
+    out._cut_path, out._cut_table = path, table
+    return out
+
+
 def drop(*tables: DataFrame | None) -> None:
-    """Delete tables written by :func:`cut` once nothing reads them any more."""
+    """Delete tables written by :func:`cut` or :func:`dealt` once nothing reads them any more."""
     for df in tables:
+        if getattr(df, "_cut_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._cut_table}")
         path = getattr(df, "_cut_path", None)
         if path:
             delete_path(df.sparkSession, path)

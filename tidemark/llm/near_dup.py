@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import cut, drop, give_back, only, tune
+from .common import cut, dealt, drop, give_back, only, tune
 from .components import components
 
 U = np.uint64
@@ -138,14 +138,13 @@ def _signatures(p: ChosenPath):
 
 
 def _sets(k: int):
-    """(rep, fp, shingles, is_a, is_b) of rows (rep, text, is_a, is_b); the fingerprint tells rows of another text under the same id."""
+    """(rep, fp, shingles) of rows (rep, text); the fingerprint tells rows of another text under the same id."""
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(*tb.binary(batch.column(1)), k))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([_fingerprint(u) if len(u) else None for u in sets], pa.binary()),
-                 pa.array([u.tobytes() for u in sets], pa.large_binary()).cast(pa.binary()), batch.column(2), batch.column(3)],
-                names=["rep", "fp", "shingles", "is_a", "is_b"])
+                 pa.array([u.tobytes() for u in sets], pa.large_binary()).cast(pa.binary())], names=["rep", "fp", "shingles"])
     return run
 
 
@@ -262,10 +261,10 @@ def _in_full(rows: DataFrame, sets: DataFrame, p: ChosenPath) -> DataFrame:
     """
     width = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(p.block)), F.ceil(F.col("weight") / F.lit(p.block_bytes))).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "rep"), width).cast("int")
-    dealt = (rows.select("level", "node", "rep", "comp", own.alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"))
+    cells = (rows.select("level", "node", "rep", "comp", own.alias("i"), F.explode(F.sequence(F.lit(0), width - 1)).alias("j"))
              .select(F.xxhash64("level", "node", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "rep", "comp",
                      F.when(F.col("i") == F.col("j"), -1).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side")))
-    return (dealt.join(sets, "rep").groupBy("cell").agg(F.collect_list(F.struct("rep", "comp", "side", "shingles")).alias("m"))
+    return (cells.join(sets, "rep").groupBy("cell").agg(F.collect_list(F.struct("rep", "comp", "side", "shingles")).alias("m"))
             .select("m").mapInArrow(give_back(_cells(p.threshold_pct)), "a long, b long"))
 
 
@@ -281,10 +280,15 @@ def _confirm(pct: int):
     return run
 
 
+def _ends(sets: DataFrame, pairs: DataFrame, end: str) -> DataFrame:
+    """The sets of one end of the pairs alone."""
+    return sets.join(pairs.select(F.col(end).alias("rep")).distinct(), "rep", "left_semi")
+
+
 def _attach(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, col: str) -> DataFrame:
-    """(a, b, value of a, value of b) by two key joins."""
-    one = pairs.join(of_a.select(F.col("rep").alias("a"), F.col(col).alias("va")), "a")
-    return one.join(of_b.select(F.col("rep").alias("b"), F.col(col).alias("vb")), "b").select("a", "b", "va", "vb")
+    """(a, b, value of a, value of b) by two key joins; an ``a`` of very many pairs is met last, with rows that AQE can split."""
+    one = pairs.join(of_b.select(F.col("rep").alias("b"), F.col(col).alias("vb")), "b")
+    return one.join(of_a.select(F.col("rep").alias("a"), F.col(col).alias("va")), "a").select("a", "b", "va", "vb")
 
 
 def _confirmed(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, p: ChosenPath, name: str) -> DataFrame:
@@ -292,6 +296,14 @@ def _confirmed(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, p: ChosenPath
     return cut(_attach(pairs, of_a, of_b, "shingles").mapInArrow(give_back(_confirm(p.threshold_pct)), "a long, b long"), name)
 
 
+def _links(pairs: DataFrame, sets: DataFrame, p: ChosenPath) -> DataFrame:
+    """The pairs that are links. The sets of the first ends are written, those of the second ends stay in their buckets."""
+    of_a = cut(_ends(sets, pairs, "a"), "nd-ends")
+    out = _confirmed(pairs, of_a, _ends(sets, pairs, "b"), p, "nd-links")
+    drop(of_a)
+    return out
+
+
 def _per_node(rows: DataFrame, *more: str) -> DataFrame:
     """Nodes that hold two components or more, with their size and the bytes of their sets."""
     return (rows.groupBy("node", *more).agg(F.count(F.lit(1)).alias("size"), F.sum(8 * F.col("n")).alias("weight"),
@@ -350,16 +362,14 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
                .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.sketch").alias("va"), F.col("sketch").alias("vb"))
                .mapInArrow(alike, "a long, b long").distinct(), "nd-star")
     # texts of every class that shares a node with another one: read and shuffled once
-    # a set says which end of a star's pair it is, so that the most pairs are confirmed without a shuffle of all other sets
-    end = lambda c: star.select(F.col(c).alias("rep"), F.lit(True).alias(f"is_{c}")).distinct()
-    some = (nodes.select("rep").distinct().join(stand.select("rep", "id"), "rep").join(end("a"), "rep", "left").join(end("b"), "rep", "left")
-            .select("rep", "id", F.coalesce("is_a", F.lit(False)).alias("is_a"), F.coalesce("is_b", F.lit(False)).alias("is_b")))
-    sets = cut(d.join(some, d.doc_id == some.id).select("rep", "text", "is_a", "is_b")
-               .mapInArrow(give_back(_sets(p.words)), "rep long, fp binary, shingles binary, is_a boolean, is_b boolean")
-               .where(F.xxhash64("fp") == F.col("rep")).select("rep", "shingles", "is_a", "is_b"), "nd-sets")
+    some = nodes.select("rep").distinct().join(stand.select("rep", "id"), "rep")
+    read = cut(d.join(some, d.doc_id == some.id).select("rep", "text").mapInArrow(give_back(_sets(p.words)), "rep long, fp binary, shingles binary")
+               .where(F.xxhash64("fp") == F.col("rep")).select("rep", "shingles"), "nd-read")
+    # the sets are dealt out by class once: no later join moves those that it does not need
+    sets = dealt(read, "rep", "nd-sets")
+    drop(read)
     made = [sets]
-    linked = _confirmed(star, sets.where("is_a"), sets.where("is_b"), p, "nd-links")
-    sets = sets.select("rep", "shingles")
+    linked = _links(star, sets, p)
     label = components(linked)
 
     def open_rows(label):
@@ -373,9 +383,9 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     picks = [F.min(F.struct(F.xxhash64("node", "rep", F.lit(k)).alias("h"), "rep", "comp", "sketch")) for k in range(p.stars)]
     fresh = cut(large.groupBy("node").agg(F.array(*picks).alias("p")).select("node", F.explode("p").alias("p")), "nd-fresh")
     fresh_pairs = (large.join(fresh, "node").where("comp != p.comp and rep != p.rep")
-                   .select(F.least("p.rep", "rep").alias("a"), F.greatest("p.rep", "rep").alias("b"), F.col("p.sketch").alias("va"), F.col("sketch").alias("vb")))
+                   .select(F.col("p.rep").alias("a"), F.col("rep").alias("b"), F.col("p.sketch").alias("va"), F.col("sketch").alias("vb")))
     second = cut(fresh_pairs.mapInArrow(alike, "a long, b long").distinct(), "nd-star")
-    new = _confirmed(second, sets, sets, p, "nd-links")
+    new = _links(second, sets, p)
     if not new.isEmpty():
         old, before = label, rows
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
@@ -400,7 +410,7 @@ def link(docs: DataFrame, p: ChosenPath = ChosenPath(), id_col: str = "doc_id",
     found = (_union(few).groupBy("level", "node").agg(F.collect_list(F.struct("rep", "comp", "sketch")).alias("members"))
              .select("members").mapInArrow(_exhaustive(p.least_equal), "a long, b long"))
     pairs = cut(found.distinct(), "nd-pairs")
-    more = _confirmed(pairs, sets, sets, p, "nd-links")
+    more = _links(pairs, sets, p)
     edges = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     if undivided:
         edges = edges.unionByName(_in_full(_union(undivided), sets, p))
