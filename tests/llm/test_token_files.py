@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import simple8b, token_files as tf
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import Encoder, encoder
 
 
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 50_256), st.integers(0, 2**64 - 1)), max_size=1500))
@@ -64,3 +64,41 @@ def test_odd_tables(none, repeated):
     got = sorted(tf.read(*tf.write(repeated)).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [1, 1, 1, 2, None, None]
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+
+
+@given(st.lists(st.integers(0, 2**16 - 1), max_size=1500))
+@settings(max_examples=40, deadline=None)
+def test_narrow_ids_are_coded_as_wide_ones(x):
+    for a, b in zip(simple8b.encode(np.array(x, np.uint64)), simple8b.encode(np.array(x, np.uint16)), strict=True):
+        assert (a == b).all()
+
+
+def test_plain_words_go_straight_to_the_merges():
+    """Words of letters, behind a line break or before signs, get the library's ids without its pattern; others still meet it."""
+    class NoPattern:
+        def __init__(self, t):
+            self.model, self.token_to_id = t.model, t.token_to_id
+
+        def encode_batch_fast(self, texts, **_):
+            assert not texts
+            return []
+    e = Encoder("byte_bpe_50k.json")
+    whole = e.t
+    words = ["word", "Wörter", "été", "\nLine", "\nEnd.", "end,", "sum$$$", "HEAD!!", "中文", "x", "y;", *[f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]]
+    e.t = NoPattern(whole)
+    e._learn(words)
+    got = {w: np.frombuffer(e.cache[w], e.dtype).tolist() for w in words}
+    e.t = whole
+    assert got == {w: e.t.encode(e._text(w), add_special_tokens=False).ids for w in words}
+    odd = ["it's", "don't,", "\nl'été", "a1", "x-y", "naïve!", "\nétude", "42", "ª", "a\u0301b", "<|endoftext|>", "ſo", "Ǆa"]
+    e._learn(odd)
+    assert {w: np.frombuffer(e.cache[w], e.dtype).tolist() for w in odd} == {w: e.t.encode(e._text(w), add_special_tokens=False).ids for w in odd}
+
+
+def test_a_tokenizer_with_words_as_added_tokens_keeps_the_long_way(tmp_path):
+    e = Encoder("byte_bpe_50k.json")
+    e.t.add_tokens(["word"])
+    e.t.save(str(tmp_path / "t.json"))
+    f = Encoder(str(tmp_path / "t.json"))
+    assert e.bound and not f.bound
+    assert f.encode(["some word here"])[0].tolist() == f.t.encode("some word here", add_special_tokens=False).ids

@@ -16,9 +16,13 @@ BLOCK = 256
 #: ids a word by selector, widest first; a width is 60 // count bits. Selector = place + 1.
 COUNTS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 WIDTHS = 60 // COUNTS
+#: ids a word by place, -1: escape
+_HOLD = np.append(COUNTS, 1)
 
 
-CHUNK = 128 * BLOCK  # ids encoded at a time: arrays stay in the processor's cache
+CHUNK = 256 * BLOCK  # ids encoded at a time: arrays stay in the processor's cache
+#: bits of every value of two bytes, 1 at least
+_SHORT = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.int8)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -26,6 +30,8 @@ def _bits(x: np.ndarray) -> np.ndarray:
     n = np.ones(len(x), np.int8)
     if not len(x):
         return n
+    if x.max() < U(1 << 16):
+        return _SHORT[x]
     if x.max() < U(1 << 52):  # a double holds it
         return np.maximum(np.frexp(x.astype(np.float64))[1], 1).astype(np.int8)
     for w in range(1, int(x.max()).bit_length()):
@@ -34,8 +40,10 @@ def _bits(x: np.ndarray) -> np.ndarray:
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, word offset of every block + total) of unsigned 64-bit values."""
-    ids = np.ascontiguousarray(ids, U)
+    """(words, word offset of every block + total) of unsigned values, up to 64 bits wide."""
+    ids = np.ascontiguousarray(ids)
+    if ids.dtype.kind != "u":
+        ids = ids.astype(U)
     words, blocks, at = [], [np.zeros(1, np.int64)], 0
     for i in range(0, len(ids), CHUNK):
         w, b = _encode(ids[i:i + CHUNK])
@@ -55,18 +63,17 @@ def _encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     wide[:, :BLOCK].flat[:n] = bits
     left = np.minimum(BLOCK - np.arange(nb * BLOCK) % BLOCK, np.maximum(0, n - np.arange(nb * BLOCK)))
     place = np.full((nb, BLOCK), -1, np.int8)   # -1: escape
-    hold = np.ones((nb, BLOCK), np.int64)
     top, have = wide[:, :BLOCK].copy(), 1       # widest of the next `have` ids
-    for k, (c, w) in enumerate(zip(COUNTS, WIDTHS, strict=True)):
+    for c, w in zip(COUNTS, WIDTHS, strict=True):
         while have < c:
             np.maximum(top, wide[:, have:have + BLOCK], out=top)
             have += 1
         ok = top <= w
         if not ok.any():
             break
-        place[ok] = k
-        hold[ok] = c
-    place, hold = place.ravel(), np.minimum(hold.ravel(), left)
+        np.add(place, ok, out=place, casting="unsafe")  # what fits a narrower width fits all wider ones
+    place = place.ravel()
+    hold = np.minimum(_HOLD[place], left)
     # walk all blocks side by side from word to word
     at = np.arange(0, n, BLOCK)
     ends = np.minimum(at + BLOCK, n)
@@ -77,18 +84,23 @@ def _encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         on = at < ends
         at, ends = at[on], ends[on]
     head = np.sort(np.concatenate(heads))
-    esc = place[head] < 0
+    kind = place[head]
+    esc = kind < 0
     where = np.concatenate([[0], np.cumsum(np.where(esc, 2, 1))])
     out = np.zeros(where[-1], U)
+    # zeros stand behind a block's end, so a part full word reads them like ids
+    pad = np.zeros((nb, BLOCK + 64), ids.dtype)
+    pad[:, :BLOCK].flat[:n] = ids
+    pad = pad.ravel()
+    inside = head + head // BLOCK * 64
     for k, (c, w) in enumerate(zip(COUNTS, WIDTHS, strict=True)):
-        sel = np.flatnonzero(place[head] == k)
+        sel = np.flatnonzero(kind == k)
         if not len(sel):
             continue
-        h = head[sel]
+        h = inside[sel]
         word = np.full(len(sel), k + 1, U)
         for j in range(c):
-            in_ = np.flatnonzero(j < hold[h])
-            word[in_] |= ids[h[in_] + j] << U(4 + j * int(w))
+            word |= pad[h + j].astype(U) << U(4 + j * int(w))
         out[where[sel]] = word
     out[where[:-1][esc] + 1] = ids[head[esc]]
     return out, where[np.append(np.searchsorted(head, np.arange(BLOCK, n, BLOCK)), len(head))].astype(np.int64)

@@ -99,7 +99,7 @@ def _write(folder: str, f: TokenFiles):
                 docs, ids, total, k = [], [], 0, k + 1
         for batch in batches:
             for d, x in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
-                x = np.append(x.astype(np.uint64), np.uint64(f.end_id))
+                x = np.append(x, x.dtype.type(f.end_id) if f.end_id <= np.iinfo(x.dtype).max else np.uint64(f.end_id))
                 docs.append(d)
                 ids.append(x)
                 total += len(x)
