@@ -1,3 +1,4 @@
+import re
 from collections import Counter, defaultdict
 
 import brute
@@ -84,3 +85,20 @@ def test_odd_tables(none, repeated):
     got = packing.pack_documents(repeated).collect()
     bins_ok(got)
     assert len(got) == repeated.count()
+
+
+def test_the_mix_shuffles_no_texts(spark):
+    """Documents meet their copies by their source's cut, not by a join on every id; those without words come once per epoch."""
+    rows = [(i, " ".join(["word"] * (i % 7)) or None, "en", None if i % 3 == 0 else f"s{i % 3}", 0) for i in range(3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    t = {r.doc_id: r.epochs + (r.part > 0 and 2 * r.part >= r.size) for r in mixing.take(d).collect()}
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        out = mixing.mixed_documents(d)
+        got = Counter(r.doc_id for r in out.collect())
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert got == {i: n for i, n in t.items() if n} and len(set(t.values())) > 1
+    assert not re.search(r"\) Exchange\nInput", plan)

@@ -83,7 +83,13 @@ def mixed_documents(docs: DataFrame, m: Mix = Mix()) -> DataFrame:
     inner = docs.toDF(*[f"c{i}" for i in range(len(cols))])
     d, _ = unique_ids(inner, f"c{cols.index('doc_id')}", f"c{cols.index('text')}")
     t = take(d, m, "uid", f"c{cols.index('source')}", f"c{cols.index('text')}")
-    t = t.select(F.col("doc_id").alias("_uid"), (F.col("epochs") + ((F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))).cast("long")).alias("copies"))
-    j = d.join(cut(t.where("copies > 0"), "mix-copies"), F.col("uid") == F.col("_uid"))
+    # in a source's order the documents that come once more than all stand first (but for those without words):
+    # the last of them tells, so texts are not shuffled to meet their counts
+    again = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
+    place = lambda uid: F.struct(F.xxhash64(F.lit(m.seed), uid).alias("key"), F.col(uid).alias("uid"))
+    per = cut(t.groupBy(F.col("source").alias("_source")).agg(F.max("epochs").alias("_epochs"), F.max(F.when(again, place("doc_id"))).alias("_last")), "mix-last")
+    j = d.join(per, F.col(f"c{cols.index('source')}").eqNullSafe(F.col("_source")))
+    more = F.coalesce((place("uid") <= F.col("_last")) & F.col(f"c{cols.index('text')}").rlike(WORD), F.lit(False))
+    j = j.withColumn("copies", F.col("_epochs") + more.cast("long")).where("copies > 0")
     j = j.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return j.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
